@@ -32,6 +32,7 @@ from tidemark.sources.scratch import frozen
 GROUP_ROWS = 5_000_000
 
 BLOCK = "_block"
+CARRY = "_carry"
 ROW_IN_BLOCK = "_row_in_block"
 
 
@@ -121,20 +122,25 @@ def summarise(split: Split, rows: DataFrame, measures: dict[str, Column]) -> Dat
 
 
 def attach(split: Split, rows: DataFrame, carry: DataFrame) -> DataFrame:
-    """Give every row the carry of its block.
+    """Give every row the carry of its block, as one struct (see ``carried``).
 
     There are fewer than two summaries per range partition, a bound known before
     the join. Beyond the broadcast limit the join shuffles on key and block, and
     no block is larger than a task can hold.
     """
     on_columns = [*split.keys, BLOCK]
-    carried = [c for c in carry.columns if c not in on_columns]
-    named = carry.select(*(F.col(c).alias(f"_of_{c}") for c in on_columns), *carried)
+    values = F.struct(*(c for c in carry.columns if c not in on_columns)).alias(CARRY)
+    named = carry.select(*(F.col(c).alias(f"_of_{c}") for c in on_columns), values)
     few = broadcast_if_few(named, 2 * split.blocks)
     on = reduce(lambda a, b: a & b, (F.col(c).eqNullSafe(F.col(f"_of_{c}")) for c in on_columns))
     return rows.join(few, on, "left").drop(*(f"_of_{c}" for c in on_columns))
 
 
+def carried(name: str) -> Column:
+    """A carried value, after ``attach``."""
+    return F.col(f"{CARRY}.{name}")
+
+
 def block_order(split: Split) -> Window:
     """The blocks of one group in order."""
     return Window.partitionBy(*split.keys).orderBy(BLOCK)

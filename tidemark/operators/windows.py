@@ -16,6 +16,7 @@ from tidemark.operators.blocks import (
     Limits,
     attach,
     block_order,
+    carried,
     in_blocks,
     split_by_group_size,
     summarise,
@@ -111,17 +112,17 @@ def ranked(
         )
         .select(*keys, "_block", "rows_before", "values_before", "group_rows", "continues", "run_rank", "joins")
     )
-    whole_row = F.col("rows_before") + F.col("row_num")
-    in_first_run = F.col("continues") & (F.col("rank") == 1)
+    whole_row = carried("rows_before") + F.col("row_num")
+    in_first_run = carried("continues") & (F.col("rank") == 1)
     blocked = attach(split, rows, carry).select(
         *df.columns,
         whole_row.cast("int").alias("row_num"),
-        F.when(in_first_run, F.col("run_rank"))
-        .otherwise(F.col("rows_before") + F.col("rank"))
+        F.when(in_first_run, carried("run_rank"))
+        .otherwise(carried("rows_before") + F.col("rank"))
         .cast("int")
         .alias("rank"),
-        (F.col("values_before") - F.col("joins") + F.col("dense_rank")).cast("int").alias("dense_rank"),
-        _tile(whole_row, F.col("group_rows"), tiles).alias("quartile"),
+        (carried("values_before") - carried("joins") + F.col("dense_rank")).cast("int").alias("dense_rank"),
+        _tile(whole_row, carried("group_rows"), tiles).alias("quartile"),
     )
     return plain.unionByName(blocked)
 
@@ -141,7 +142,7 @@ def numbered(
         "rows_before", _so_far(F.col("n"), block_order(split))
     )
     blocked = attach(split, rows, carry.drop("n")).select(
-        *df.columns, (F.col("rows_before") + F.col(ROW_IN_BLOCK)).alias(name)
+        *df.columns, (carried("rows_before") + F.col(ROW_IN_BLOCK)).alias(name)
     )
     return plain.unionByName(blocked)
 
@@ -198,11 +199,11 @@ def neighbours(
         carry = carry.withColumn("row_before", F.lag("last_row").over(w)).drop("last_row")
     if after:
         carry = carry.withColumn("row_after", F.lead("first_row").over(w)).drop("first_row")
-    at_start, at_end = F.col(ROW_IN_BLOCK) == 1, F.col(ROW_IN_BLOCK) == F.col("n")
+    at_start, at_end = F.col(ROW_IN_BLOCK) == 1, F.col(ROW_IN_BLOCK) == carried("n")
     blocked = attach(split, rows, carry).select(
         *df.columns,
-        *(F.when(at_start, F.col(f"row_before.{c}")).otherwise(F.col(c)).alias(c) for c in before),
-        *(F.when(at_end, F.col(f"row_after.{c}")).otherwise(F.col(c)).alias(c) for c in after),
+        *(F.when(at_start, carried(f"row_before.{c}")).otherwise(F.col(c)).alias(c) for c in before),
+        *(F.when(at_end, carried(f"row_after.{c}")).otherwise(F.col(c)).alias(c) for c in after),
     )
     return plain.unionByName(blocked)
 
@@ -277,8 +278,8 @@ def running(
     )
 
     def joined(n: str) -> Column:
-        tail = F.when(F.col(order).eqNullSafe(F.col("last_time")), F.col(f"tail{n}"))
-        pieces = [F.col(f"before{n}"), F.col(n), tail]
+        tail = F.when(F.col(order).eqNullSafe(carried("last_time")), carried(f"tail{n}"))
+        pieces = [carried(f"before{n}"), F.col(n), tail]
         if n != "_sum":
             return sum((F.coalesce(p, F.lit(0)) for p in pieces[1:]), F.coalesce(pieces[0], F.lit(0)))
         zero = F.lit(0).cast("decimal(1,0)")
@@ -318,7 +319,7 @@ def carried_forward(
         "known_before", F.last("known", ignorenulls=True).over(block_order(split).rowsBetween(*BEFORE))
     )
     blocked = attach(split, rows, carry.drop("known"))
-    return plain.unionByName(finish(blocked, F.coalesce(last_known, "known_before")))
+    return plain.unionByName(finish(blocked, F.coalesce(F.col(last_known), carried("known_before"))))
 
 
 # --- windows over a daily table -------------------------------------------------
