@@ -2,14 +2,16 @@
 
     BENCH_SF_DIR=/root/testdata/sf0.1 BENCH_CPUS=8 python bench.py [query ...]
 
-Each query is built and run to its end once after a warm-up; the rows go to
-Spark's ``noop`` sink, so every column is computed and none is collected.
+Each query is built and run to its end ``RUNS`` times and the median is reported.
+The rows go to Spark's ``noop`` sink, so every column is computed and none is
+collected.
 """
 
 from __future__ import annotations
 
 import json
 import os
+import statistics
 import sys
 import time
 
@@ -62,6 +64,9 @@ HEADLINE = [
 ]
 
 
+RUNS = 3
+
+
 def session(cpus: str) -> SparkSession:
     spark = (
         SparkSession.builder.master(f"local[{cpus}]")
@@ -87,9 +92,9 @@ def main() -> None:
     folder = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
     spark = session(os.environ.get("BENCH_CPUS", "8"))
     names = sys.argv[1:] or HEADLINE
-    for warm_up in ("daily_conversion", "win_13_lifetime_value", "udf_03_vectorised"):
-        run(spark, warm_up, folder)
-    times = {name: round(run(spark, name, folder), 3) for name in names}
+    times = {
+        name: round(statistics.median(run(spark, name, folder) for _ in range(RUNS)), 3) for name in names
+    }
     print(
         json.dumps(
             {

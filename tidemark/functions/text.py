@@ -12,4 +12,4 @@ BLANKS = "[ \\t\\n\\r\\f\\x0B]+"
 def words(c: Column | str) -> Column:
     """Lower-case words of a text as an array, without empty words."""
     text = F.col(c) if isinstance(c, str) else c
-    return F.filter(F.split(F.lower(text), BLANKS), lambda w: w != "")
+    return F.array_remove(F.split(F.lower(text), BLANKS), "")

@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 from tidemark.functions.casts import double_or_null
 from tidemark.functions.money import money_sum
 from tidemark.functions.text import BLANKS, words
+from tidemark.plans.sizing import spread_if_small
 from tidemark.sources.clicks import PURCHASE
 from tidemark.sources.readers import parse_json
 from tidemark.sources.schemas import RAW_EVENT_TEXT
@@ -37,14 +38,15 @@ def reduce_by_key(df: DataFrame, key: str, value: Column, name: str = "value") -
 
 def word_count(texts: DataFrame, column: str = "text") -> DataFrame:
     """How often each lower-case word occurs."""
-    return flat_map(texts, words(column), "word").groupBy("word").agg(F.count(F.lit(1)).alias("n"))
+    spread = spread_if_small(texts.select(column))
+    return flat_map(spread, words(column), "word").groupBy("word").agg(F.count(F.lit(1)).alias("n"))
 
 
 def word_count_rdd(texts: DataFrame, column: str = "text") -> DataFrame:
     """The same through map and reduce over an RDD."""
     blank = re.compile(BLANKS)
     counts = (
-        texts.select(F.lower(column)).rdd
+        spread_if_small(texts.select(F.lower(column))).rdd
         .flatMap(lambda row: [w for w in blank.split(row[0]) if w] if row[0] else [])
         .map(lambda word: (word, 1))
         .reduceByKey(add)

@@ -33,6 +33,18 @@ def fits_one_task(df: DataFrame, limit: int = ONE_TASK_BYTES) -> bool:
     return estimated_bytes(df) <= limit
 
 
+def spread_if_small(df: DataFrame, *by: str) -> DataFrame:
+    """Spread a small input over all cores, by the given columns if any.
+
+    A small file is one scan task, which leaves the other cores idle during heavy
+    work on each row. A large input already comes in many tasks and is left as it
+    is.
+    """
+    if not fits_one_task(df):
+        return df
+    return df.repartition(df.sparkSession.sparkContext.defaultParallelism, *by)
+
+
 def may_broadcast(df: DataFrame, limit: int = BROADCAST_BYTES) -> bool:
     return estimated_bytes(df) <= limit
 

@@ -5,10 +5,12 @@ from __future__ import annotations
 from collections.abc import Iterable, Sequence
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
+from tidemark.plans.sizing import spread_if_small
+
 
 class MissingInput(FileNotFoundError):
     """A required upstream table does not exist."""
@@ -49,7 +51,18 @@ def read_lines(spark: SparkSession, path: str) -> DataFrame:
 def parse_json(lines: DataFrame, schema: StructType | str, column: str = "value") -> DataFrame:
     """JSON text to columns; text that is not JSON gives a row of NULLs."""
     ddl = schema if isinstance(schema, str) else schema.simpleString()
-    return lines.select(F.from_json(column, ddl).alias("record")).select("record.*")
+    parsed = spread_if_small(lines).select(evaluated_once(F.from_json(column, ddl)).alias("record"))
+    return parsed.select("record.*")
+
+
+def evaluated_once(expr: Column) -> Column:
+    """An expensive expression that is not evaluated again for each use.
+
+    Catalyst moves a filter on a projected column below the projection and copies
+    the expression into it, once per use. It does not do so for a generated
+    column, so the value goes through an array of one element.
+    """
+    return F.explode(F.array(expr))
 
 
 def local_table(spark: SparkSession, rows: Sequence, schema: StructType | str | Iterable[str]) -> DataFrame:

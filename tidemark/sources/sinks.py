@@ -6,7 +6,7 @@ import math
 
 from pyspark.sql import DataFrame
 
-from tidemark.plans.sizing import MB, UNKNOWN, estimated_bytes
+from tidemark.plans.sizing import MB, UNKNOWN, estimated_bytes, fits_one_task, spread_if_small
 
 # Files of this size are large enough to scan well and small enough to split.
 FILE_BYTES = 512 * MB
@@ -30,11 +30,12 @@ def write_json(df: DataFrame, path: str) -> str:
 def write_partitioned(df: DataFrame, path: str, by: list[str], codec: str = "snappy") -> str:
     """Hive-style folders, one level per column.
 
-    The rows are rebalanced by the partition columns first, so that a folder is
-    not fed by every task. Adaptive execution joins small folders into one task
-    and splits a folder that holds a large share of the rows over several.
+    The rows are brought together by the partition columns first, so that a
+    folder is not fed by every task. Of a large input the rows are rebalanced:
+    adaptive execution joins small folders into one task and splits a folder that
+    holds a large share of the rows over several.
     """
-    balanced = df.hint("rebalance", *by)
+    balanced = spread_if_small(df, *by) if fits_one_task(df) else df.hint("rebalance", *by)
     balanced.write.mode("overwrite").option("compression", codec).partitionBy(*by).parquet(path)
     return path
 
