@@ -139,3 +139,36 @@ def test_files_grow_with_the_table(spark, folder):
     assert sinks.file_count(lines, 4) == 4
     assert sinks.file_count(lines, 4, file_bytes=size // 10) in (10, 11)
     assert partition_count(sinks.with_few_files(lines.repartition(16))) == 4
+
+
+@pytest.fixture
+def small_skew(spark):
+    """Shuffled joins, with a skew limit that a test table can pass."""
+    changed = {
+        "spark.sql.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "20KB",
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "2",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "10KB",
+        "spark.sql.adaptive.coalescePartitions.enabled": "false",
+    }
+    before = {k: spark.conf.get(k, None) for k in changed}
+    for k, v in changed.items():
+        spark.conf.set(k, v)
+    yield
+    for k, v in before.items():
+        spark.conf.unset(k) if v is None else spark.conf.set(k, v)
+
+
+@pytest.mark.parametrize("how", sorted(joins.JOINS))
+def test_hot_key_of_a_shuffled_join_is_split(spark, small_skew, monkeypatch, how):
+    monkeypatch.setattr(joins, "broadcast_if_small", lambda df: df)
+    ids = spark.range(0, 60000, 1, 16)
+    facts = ids.select(F.when(F.col("id") % 3 == 0, 7).otherwise(F.col("id") % 1000).alias("k"), F.sha2(F.col("id").cast("string"), 256).alias("text"))
+    lookup = spark.range(900).select((F.col("id") + 50).alias("k"), F.lit("x").alias("d"))
+    lookup = lookup.unionByName(spark.range(1).select(F.lit(7).cast("long").alias("k"), F.lit("hot").alias("d")))
+    got = joins.JOINS[how](facts, lookup, "k")
+    n = got.count()
+    got.collect()
+    assert "skew=true" in physical_plan(got)
+    assert n == facts.join(lookup, "k", how).count()

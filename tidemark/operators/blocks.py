@@ -29,7 +29,7 @@ from tidemark.plans.sizing import broadcast_if_few, fits_one_task
 from tidemark.sources.scratch import frozen
 
 # Rows of one group that a single task is trusted to sort.
-GROUP_ROWS = 5_000_000
+GROUP_ROWS = 2_000_000
 
 BLOCK = "_block"
 CARRY = "_carry"

@@ -170,7 +170,12 @@ def daily_metrics(events: DataFrame) -> DataFrame:
 
 
 def user_metrics(events: DataFrame) -> DataFrame:
-    """Per user. ``primary_device`` is the device of the earliest event."""
+    """Per user. ``primary_device`` is the device of the earliest event.
+
+    The device is found in an aggregate of its own: kept with the distinct counts
+    it would turn them, and the rows they multiply, from hashing to sorting. The
+    join moves one row per user.
+    """
     per_user = events.groupBy("user_id").agg(
         F.count(F.lit(1)).alias("total_events"),
         F.count_distinct("session_id").alias("total_sessions"),
@@ -179,9 +184,12 @@ def user_metrics(events: DataFrame) -> DataFrame:
         F.max("event_timestamp").alias("last_seen"),
         count_where(_purchase()).alias("num_purchases"),
         money_sum_or_zero("total_amount", _purchase()).alias("total_spent"),
-        first_in_group("device", "event_timestamp", "event_id").alias("primary_device"),
     )
-    return per_user.withColumn("user_segment", user_segment("total_spent"))
+    device = events.groupBy(F.col("user_id").alias("_user")).agg(
+        first_in_group("device", "event_timestamp", "event_id").alias("primary_device")
+    )
+    joined = per_user.join(device, F.col("user_id").eqNullSafe(F.col("_user"))).drop("_user")
+    return joined.withColumn("user_segment", user_segment("total_spent"))
 
 
 def product_metrics(events: DataFrame) -> DataFrame:

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Iterable, Sequence
 
+import pyarrow as pa
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -70,17 +71,21 @@ def local_table(spark: SparkSession, rows: Sequence, schema: StructType | str |
 
     ``schema`` is a schema or just the column names, whose types then follow the
     values. For a few hundred rows of reference data; anything that grows belongs
-    in a file. The trip through Arrow keeps the rows in the plan, so Spark knows
+    in a file. Handed over as Arrow, the rows stay in the plan, so Spark knows
     their size and can broadcast them without a hint.
     """
-    if isinstance(schema, (StructType, str)):
-        return spark.createDataFrame(spark.createDataFrame(list(rows), schema).toArrow(), schema)
-    return spark.createDataFrame(spark.createDataFrame(list(rows), list(schema)).toArrow())
+    if isinstance(schema, str):
+        schema = StructType.fromDDL(schema)
+    typed = isinstance(schema, StructType)
+    names = schema.names if typed else list(schema)
+    table = pa.Table.from_pylist([dict(zip(names, row)) for row in rows])
+    return spark.createDataFrame(table, schema) if typed else spark.createDataFrame(table)
 
 
 def local_rows(spark: SparkSession, rows: Sequence[dict]) -> DataFrame:
     """A small table from dicts, with inferred types and columns sorted by name."""
-    return spark.createDataFrame(spark.createDataFrame(list(rows)).toArrow())
+    names = sorted({name for row in rows for name in row})
+    return spark.createDataFrame(pa.Table.from_pylist([{n: row.get(n) for n in names} for row in rows]))
 
 
 def as_view(df: DataFrame, name: str) -> DataFrame:
