@@ -48,6 +48,27 @@ def bit(predicate: Column) -> Column:
     return F.when(predicate, 1).otherwise(0)
 
 
+def _epoch() -> Column:
+    return F.lit("1970-01-01").cast("timestamp_ntz")
+
+
+def _seconds(c: Column | str) -> Column:
+    """Exact seconds since 1970 of a zone-free time, to the microsecond."""
+    return (_col(c) - _epoch()).cast("interval second").cast("decimal(20,6)")
+
+
 def epoch_seconds(c: Column | str) -> Column:
-    """Whole seconds since 1970 of a time, read in the session zone."""
-    return F.unix_seconds(_col(c).cast("timestamp"))
+    """Whole seconds since 1970 of a zone-free time."""
+    return F.floor(_seconds(c)).cast("long")
+
+
+def utc_instant(c: Column | str) -> Column:
+    """A zone-free time as the instant it names in UTC, whatever the session zone."""
+    return F.timestamp_seconds(_seconds(c))
+
+
+def utc_wall_clock(c: Column | str) -> Column:
+    """The zone-free UTC time of an instant."""
+    seconds = (F.unix_micros(_col(c)).cast("decimal(20,0)") / F.lit(1_000_000)).cast("decimal(18,6)")
+    zero = F.lit(0)
+    return _epoch() + F.make_dt_interval(zero, zero, zero, seconds)

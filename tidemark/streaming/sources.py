@@ -3,9 +3,10 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
+from tidemark.functions.casts import utc_instant
+
 
 def rate_stream(spark: SparkSession, rows_per_second: int = 5) -> DataFrame:
     """Rows ``timestamp, value`` made at a steady rate, for trying out a query."""
@@ -32,5 +33,5 @@ def table_stream(spark: SparkSession, folder: str, name: str, schema: StructType
 
 
 def with_event_time(df: DataFrame, column: str, name: str = "timestamp") -> DataFrame:
-    """Event time as an instant; watermarks do not take zone-free timestamps."""
-    return df.withColumn(name, F.col(column).cast("timestamp"))
+    """A zone-free event time as an instant, the type watermarks ask for."""
+    return df.withColumn(name, utc_instant(column))

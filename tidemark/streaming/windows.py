@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tidemark.functions.casts import utc_wall_clock
+
 
 def windowed(
     df: DataFrame, measures: dict[str, Column], time: str = "timestamp", width: str = "5 seconds", late: str = "10 seconds"
@@ -26,10 +28,10 @@ def windowed_count(df: DataFrame, time: str = "timestamp", width: str = "5 secon
 
 
 def flat_window(df: DataFrame) -> DataFrame:
-    """Window bounds as two wall-clock columns."""
+    """Window bounds as two zone-free columns."""
     rest = [c for c in df.columns if c != "window"]
     return df.select(
-        F.col("window.start").cast("timestamp_ntz").alias("window_start"),
-        F.col("window.end").cast("timestamp_ntz").alias("window_end"),
+        utc_wall_clock("window.start").alias("window_start"),
+        utc_wall_clock("window.end").alias("window_end"),
         *rest,
     )
