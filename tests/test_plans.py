@@ -172,3 +172,21 @@ def test_hot_key_of_a_shuffled_join_is_split(spark, small_skew, monkeypatch, how
     got.collect()
     assert "skew=true" in physical_plan(got)
     assert n == facts.join(lookup, "k", how).count()
+
+
+def test_large_partitioned_write_splits_a_hot_folder(spark, folder, monkeypatch):
+    monkeypatch.setattr(sinks, "fits_one_task", lambda df: False)
+    rows = spark.range(0, 90000, 1, 8).select(
+        F.when(F.col("id") % 3 == 0, "hot").otherwise((F.col("id") % 7).cast("string")).alias("day"),
+        F.sha2(F.col("id").cast("string"), 256).alias("text"),
+    )
+    spark.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", "200KB")
+    try:
+        path = sinks.write_partitioned(rows, fresh_dir(spark, "hot"), ["day"])
+    finally:
+        spark.conf.unset("spark.sql.adaptive.advisoryPartitionSizeInBytes")
+    written = spark.read.parquet(path)
+    files = written.groupBy("day").agg(F.count_distinct("_metadata.file_path").alias("n"), F.count(F.lit(1)).alias("rows"))
+    per_day = {r["day"]: (r["n"], r["rows"]) for r in files.collect()}
+    assert per_day["hot"][0] > 2 and per_day["hot"][1] == 30000
+    assert sum(rows for _, rows in per_day.values()) == 90000

@@ -54,7 +54,7 @@ def ranked(
     tiles: int = 4,
     limits: Limits = Limits(),
 ) -> DataFrame:
-    """Adds ``row_num``, ``rank``, ``dense_rank`` and ``quartile`` by ``value``.
+    """Adds ``row_num``, ``rank``, ``dense_rank`` (long) and ``quartile`` (int) by ``value``.
 
     Equal values share ``rank`` and ``dense_rank``; ``tie`` (unique) decides their
     ``row_num`` and ``quartile``.
@@ -64,9 +64,9 @@ def ranked(
 
     def inside(part) -> dict[str, Column]:
         return {
-            "row_num": F.row_number().over(part.orderBy(*total_order)),
-            "rank": F.rank().over(part.orderBy(by_value)),
-            "dense_rank": F.dense_rank().over(part.orderBy(by_value)),
+            "row_num": F.row_number().over(part.orderBy(*total_order)).cast("long"),
+            "rank": F.rank().over(part.orderBy(by_value)).cast("long"),
+            "dense_rank": F.dense_rank().over(part.orderBy(by_value)).cast("long"),
         }
 
     split = split_by_group_size(df, keys, limits)
@@ -116,12 +116,11 @@ def ranked(
     in_first_run = carried("continues") & (F.col("rank") == 1)
     blocked = attach(split, rows, carry).select(
         *df.columns,
-        whole_row.cast("int").alias("row_num"),
+        whole_row.alias("row_num"),
         F.when(in_first_run, carried("run_rank"))
         .otherwise(carried("rows_before") + F.col("rank"))
-        .cast("int")
         .alias("rank"),
-        (carried("values_before") - carried("joins") + F.col("dense_rank")).cast("int").alias("dense_rank"),
+        (carried("values_before") - carried("joins") + F.col("dense_rank")).alias("dense_rank"),
         _tile(whole_row, carried("group_rows"), tiles).alias("quartile"),
     )
     return plain.unionByName(blocked)
@@ -154,7 +153,8 @@ def top_per_group(df: DataFrame, keys: list[str], value: str, tie: str, k: int,
     any size arrives small.
     """
     w = Window.partitionBy(*keys).orderBy(_direction(value, descending), F.asc(tie))
-    return df.withColumn("row_num", F.row_number().over(w)).filter(F.col("row_num") <= k)
+    first = df.withColumn("row_num", F.row_number().over(w)).filter(F.col("row_num") <= k)
+    return first.withColumn("row_num", F.col("row_num").cast("long"))
 
 
 def neighbours(

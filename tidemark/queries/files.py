@@ -38,7 +38,7 @@ _DEVICE_ROWS = ", ".join(f"('{d}', {i})" for i, d in enumerate(DEVICES))
 
 @query(
     f"{CLICKS}, names(device, device_no) AS (VALUES {_DEVICE_ROWS}) "
-    "SELECT device, device_no, count(*) AS n FROM clicks JOIN names USING (device) GROUP BY device, device_no"
+    "SELECT device, cast(device_no AS bigint) AS device_no, count(*) AS n FROM clicks JOIN names USING (device) GROUP BY device, device_no"
 )
 def src_01_local_rows(spark, sf):
     rows = [{"device": d, "device_no": i} for i, d in enumerate(DEVICES)]

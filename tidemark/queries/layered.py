@@ -101,7 +101,7 @@ def med_07_daily_metrics(spark, sf):
     return layers.daily_metrics(_silver(spark, sf)).orderBy("event_date")
 
 
-_USERS = f"""users AS (SELECT user_id, count(*) AS total_events, count(DISTINCT session_id) AS total_sessions,
+_USERS = f"""users AS (SELECT cast(user_id AS int) AS user_id, count(*) AS total_events, count(DISTINCT session_id) AS total_sessions,
     count(DISTINCT event_date) AS active_days, min(event_timestamp) AS first_seen, max(event_timestamp) AS last_seen,
     {_PAID_COUNT} AS num_purchases, {_PAID_SUM} AS total_spent, arg_min(device, event_timestamp) AS primary_device
   FROM silver GROUP BY user_id)"""

@@ -39,7 +39,7 @@ def win_03_dense_rank(spark, sf):
     return _ranked(spark, sf).select("user_id", "event_id", "total_amount", "dense_rank")
 
 
-@query(f"{PAID} SELECT user_id, event_id, total_amount, ntile(4) OVER ({BY_AMOUNT}, event_id) AS quartile FROM paid")
+@query(f"{PAID} SELECT user_id, event_id, total_amount, cast(ntile(4) OVER ({BY_AMOUNT}, event_id) AS int) AS quartile FROM paid")
 def win_04_ntile(spark, sf):
     return _ranked(spark, sf).select("user_id", "event_id", "total_amount", "quartile")
 
