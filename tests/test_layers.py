@@ -33,7 +33,15 @@ def one(spark, text):
     return clean.first()
 
 
-@pytest.mark.parametrize("text", ['{"event_id": "e1"', "", "plain words", "null", "[1, 2]", "17"])
+@pytest.mark.parametrize(
+    "text",
+    [
+        '{"event_id": "e1"', "", "  ", "plain words", "null", "[1, 2]", "17", '"text"', '[{"event_id": "e1"}]',
+        '{"event_id": "e1"} rest', '{"event_id": "e1"}{"event_id": "e2"}', '{"event_id": "e1"},{"event_id": "e2"}',
+        '{"event_id": "e1",}', "{'event_id': 'e1'}", "]", '{"event_id": "e1"}]',
+        '{"event_id": "e1"}] {"event_id": "e2"}', '{"event_id": "e1"},{"event_id": "e2"}]',
+    ],
+)
 def test_text_that_is_no_object_is_a_parse_error(spark, text):
     row = layers.bronze(lines(spark, text), NOW).first()
     assert (row["_bronze_status"], row["_bronze_error"]) == ("parse_error", "MALFORMED_JSON")

@@ -17,8 +17,7 @@ from tidemark.functions.money import money_sum
 from tidemark.functions.text import BLANKS, words
 from tidemark.plans.sizing import spread_if_small
 from tidemark.sources.clicks import PURCHASE
-from tidemark.sources.readers import parse_json
-from tidemark.sources.schemas import RAW_EVENT_TEXT
+from tidemark.sources.readers import with_json_object
 
 
 def map_rows(df: DataFrame, **columns: Column) -> DataFrame:
@@ -67,7 +66,8 @@ def revenue_by_category(lines: DataFrame, column: str = "value") -> DataFrame:
     """
     amount = double_or_null("total_amount")
     sales = (
-        parse_json(lines, RAW_EVENT_TEXT, column)
+        with_json_object(lines, column, ["event_type", "category", "total_amount"], "record")
+        .select("record.*")
         .filter(F.col("event_type") == PURCHASE)
         .select(F.coalesce("category", F.lit("Unknown")).alias("category"), amount.alias("amount"))
         .filter(F.col("amount").isNotNull() & (F.col("amount") != 0))

@@ -23,10 +23,9 @@ from tidemark.functions.casts import (
 )
 from tidemark.functions.money import money_sum, money_sum_or_zero, percent, ratio, round2
 from tidemark.operators.aggregates import count_where, first_in_group
-from tidemark.plans.sizing import spread_if_small
 from tidemark.sources.clicks import PURCHASE
-from tidemark.sources.readers import evaluated_once, read_required
-from tidemark.sources.schemas import RAW_EVENT_TEXT, RAW_FIELDS
+from tidemark.sources.readers import read_required, with_json_object
+from tidemark.sources.schemas import RAW_FIELDS
 from tidemark.sources.sinks import write_parquet
 
 # What the layers write into their own columns.
@@ -47,9 +46,6 @@ SILVER_COLUMNS = [
     "quantity", "total_amount", "_silver_processed_time",
 ]
 
-_CORRUPT = "_corrupt"
-
-
 # --- Bronze ---------------------------------------------------------------------
 
 
@@ -60,13 +56,10 @@ def bronze(lines: DataFrame, ingested_at: str, column: str = "value", source: st
     and its text. Fields are read as text first: a word in a number field gives
     a NULL in that field, not a parse error.
     """
-    ddl = ", ".join(f"{f.name} string" for f in RAW_EVENT_TEXT.fields) + f", {_CORRUPT} string"
-    record = F.from_json(column, ddl, {"columnNameOfCorruptRecord": _CORRUPT})
-    parsed = spread_if_small(lines).select(F.col(column).alias("_raw"), evaluated_once(record).alias("_e"))
-    failed = F.col("_e").isNull() | F.col(f"_e.{_CORRUPT}").isNotNull()
-    fields = [
-        F.when(~failed, F.col(f"_e.{name}").try_cast(kind)).alias(name) for name, kind in RAW_FIELDS
-    ]
+    raw = lines.select(F.col(column).alias("_raw"))
+    parsed = with_json_object(raw, "_raw", [name for name, _ in RAW_FIELDS], "_e")
+    failed = F.col("_e").isNull()
+    fields = [F.col(f"_e.{name}").try_cast(kind).alias(name) for name, kind in RAW_FIELDS]
     return parsed.select(
         *fields,
         F.lit(ingested_at).alias("_bronze_ingestion_time"),

@@ -56,6 +56,21 @@ def parse_json(lines: DataFrame, schema: StructType | str, column: str = "value"
     return parsed.select("record.*")
 
 
+def with_json_object(lines: DataFrame, column: str, fields: list[str], name: str) -> DataFrame:
+    """Adds the named fields of a JSON object as a struct of texts.
+
+    NULL unless the text is exactly one object. Spark's own parser stops at the
+    end of the first value; in a list, followed by a mark, text after the object
+    is an error too. It also lets single quotes pass unless told not to.
+    """
+    listed = F.concat(F.lit("["), column, F.lit(', {"_mark": "end"}]'))
+    members = ", ".join(f"{f}: string" for f in [*fields, "_mark"])
+    found = F.from_json(listed, f"array<struct<{members}>>", {"allowSingleQuotes": "false"})
+    parsed = spread_if_small(lines).select("*", evaluated_once(found).alias("_found"))
+    alone = (F.size("_found") == 2) & (F.col("_found")[1]["_mark"] == "end")
+    return parsed.withColumn(name, F.when(alone, F.col("_found")[0])).drop("_found")
+
+
 def evaluated_once(expr: Column) -> Column:
     """An expensive expression that is not evaluated again for each use.
 
