@@ -96,3 +96,52 @@ def quality(text):
         "n_repeat_words": len(hit),
         "base_failed": n < 10 or 100 * len(hit) > 20 * n,
     }
+
+
+def plain_words(text):
+    return re.findall(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+", (text or "").translate(LOWER))
+
+
+def contamination(text, items):
+    """(n_words, n_hit, ids of items with a shared window)."""
+    words, hit, found = plain_words(text), set(), set()
+    for item_id, item_text in items:
+        item = plain_words(item_text)
+        n = min(10, len(item))
+        windows = {tuple(item[i : i + n]) for i in range(len(item) - n + 1)} if n else set()
+        for i in range(len(words) - n + 1):
+            if tuple(words[i : i + n]) in windows:
+                hit.update(range(i, i + n))
+                found.add("" if item_id is None else str(item_id))
+    return len(words), len(hit), sorted(found)
+
+
+def shingles(text):
+    words = blank_words((text or "").translate(LOWER))
+    n = min(5, len(words))
+    return {tuple(words[i : i + n]) for i in range(len(words) - n + 1)} if words else set()
+
+
+def near_duplicates(rows):
+    """(id, n_shingles, component id) for each row (id, text), all pairs compared."""
+    sets = [shingles(t) for _, t in rows]
+    parent = list(range(len(rows)))
+
+    def find(i):
+        while parent[i] != i:
+            i = parent[i]
+        return i
+
+    by_shingle = collections.defaultdict(list)
+    for i, s in enumerate(sets):
+        for x in s:
+            by_shingle[x].append(i)
+    pairs = collections.Counter((a, b) for g in by_shingle.values() for k, a in enumerate(g) for b in g[k + 1 :])
+    for (a, b), inter in pairs.items():
+        if 100 * inter >= 75 * (len(sets[a]) + len(sets[b]) - inter):
+            parent[find(a)] = find(b)
+    least = {}
+    for i, (key, _) in enumerate(rows):
+        if key is not None:
+            least[find(i)] = min(key, least.get(find(i), key))
+    return [(key, len(s), least.get(find(i)) if s else key) for i, ((key, _), s) in enumerate(zip(rows, sets))]

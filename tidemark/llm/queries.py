@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import bpe, pii, rules, secrets, spans, sql
+from tidemark.llm import bpe, decontaminate, neardup, pii, rules, secrets, spans, sql
 from tidemark.sources.readers import read_table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -45,6 +45,20 @@ def op1_byte_bpe(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+@query(sql.CONTAMINATION)
+def op2_decontamination(spark: SparkSession, folder: str) -> DataFrame:
+    """Words of every document that stand in a window shared with a benchmark item."""
+    found = decontaminate.contamination(read_table(spark, folder, "documents"), read_table(spark, folder, "benchmark"))
+    return found.select(
+        "doc_id",
+        "n_words",
+        "n_hit",
+        F.size("items").cast("long").alias("n_items"),
+        sha256(F.array_join("items", ",")).alias("items_sha256"),
+        (F.col("n_hit") > 0).alias("contaminated"),
+    )
+
+
 @query(sql.SECRETS)
 def op3_secrets(spark: SparkSession, folder: str) -> DataFrame:
     """Spans of secrets in every text."""
@@ -80,3 +94,9 @@ def op8_quality_rules(spark: SparkSession, folder: str) -> DataFrame:
         (~rules.passes(F.col("failed"), rules.POLICIES[1])).alias("base_failed"),
         rules.passes(F.col("failed"), rules.POLICIES[rules.CURRENT]).alias("kept"),
     )
+
+
+@query(sql.NEAR_DUPLICATES)
+def op9_near_duplicates(spark: SparkSession, folder: str) -> DataFrame:
+    """Set size, component and verdict of every document."""
+    return neardup.near_duplicates(read_table(spark, folder, "documents"))

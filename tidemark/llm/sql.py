@@ -2,4 +2,4 @@
 
 from __future__ import annotations
 
-SECRETS = PERSONAL = RULES = None
+SECRETS = PERSONAL = RULES = CONTAMINATION = NEAR_DUPLICATES = None
