@@ -145,3 +145,53 @@ def near_duplicates(rows):
         if key is not None:
             least[find(i)] = min(key, least.get(find(i), key))
     return [(key, len(s), least.get(find(i)) if s else key) for i, ((key, _), s) in enumerate(zip(rows, sets))]
+
+
+# The control strings of the chat template.
+CONTROL = ["<s>", "</s>", "[INST]", "[/INST]", "<<SYS>>", "<</SYS>>"]
+
+
+def chat(rows):
+    """{conv: (n_turns, turns digest, loss_chars, loss digest)} of rows (conv, turn, role, text)."""
+    whole = collections.defaultdict(list)
+    for conv, turn, role, text in rows:
+        whole[conv].append((turn is not None, turn or 0, role or "", text or ""))
+    out = {}
+    for conv, turns in whole.items():
+        turns.sort()
+        loss = "".join(t for _, _, r, t in turns if r == "assistant")
+        said = "".join(f"{r}\n{t}\n" for _, _, r, t in turns)
+        out[conv] = len(turns), sha(said), len(loss), sha(loss)
+    return out
+
+
+def repeated_words(texts, least=50):
+    """For each text the set of word places inside a passage of ``least`` words that occurs elsewhere too."""
+    words = [blank_words((t or "").translate(LOWER)) for t in texts]
+    seen = collections.Counter(tuple(w[i : i + least]) for w in words for i in range(len(w) - least + 1))
+    out = []
+    for w in words:
+        hit = set()
+        for i in range(len(w) - least + 1):
+            if seen[tuple(w[i : i + least])] > 1:
+                hit.update(range(i, i + least))
+        out.append(hit)
+    return out
+
+
+def unigram(rows):
+    """{id: (held_out, n_tokens, n_known, N, base)} of rows (id, text)."""
+    import zlib
+
+    def toks(t):
+        return [*blank_words((t or "").translate(LOWER)), None]
+
+    rest = {i: zlib.crc32(str(i).encode()) % 7 for i, _ in rows}
+    counts = collections.Counter(w for i, t in rows if rest[i] != 2 for w in toks(t))
+    total, distinct = sum(counts.values()), len(counts)
+    out = {}
+    for i, t in rows:
+        c = [counts[w] for w in toks(t)]
+        base = sum(math.log10((x + 1) / (total + distinct + 1)) for x in c)
+        out[i] = rest[i] == 2, len(c), sum(x > 0 for x in c), total, base
+    return out

@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import bpe, decontaminate, neardup, pii, rules, secrets, spans, sql
+from tidemark.llm import bpe, brown, chat, decontaminate, grades, neardup, pii, rules, secrets, spans, sql, suffixes
 from tidemark.sources.readers import read_table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -31,18 +31,17 @@ def sha256(text: Column) -> Column:
     return F.sha2(text.cast("binary"), 256)
 
 
+def tokenizer_of(spark: SparkSession) -> bpe.Tokenizer:
+    return bpe.Tokenizer(spark, public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN)
+
+
 @query()
 def op1_byte_bpe(spark: SparkSession, folder: str) -> DataFrame:
     """Every text to token ids and back."""
-    tokenizer = bpe.Tokenizer(spark, public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN)
+    tokenizer = tokenizer_of(spark)
     docs = read_table(spark, folder, "documents").select("doc_id", "text")
-    encoded = docs.select("doc_id", tokenizer.encode(F.col("text")).alias("ids"))
-    return encoded.select(
-        "doc_id",
-        F.size("ids").cast("long").alias("n_tokens"),
-        bpe.ids_sha256(F.col("ids")).alias("ids_sha256"),
-        F.sha2(tokenizer.decode(F.col("ids")), 256).alias("decoded_sha256"),
-    )
+    checked = docs.select("doc_id", tokenizer.round_trip(F.col("text")).alias("t"))
+    return checked.select("doc_id", "t.n_tokens", "t.ids_sha256", F.sha2("t.decoded", 256).alias("decoded_sha256"))
 
 
 @query(sql.CONTAMINATION)
@@ -71,6 +70,12 @@ def op3_secrets(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+@query()
+def op4_class_scoring(spark: SparkSession, folder: str) -> DataFrame:
+    """Log-probability of every document by class bigrams, and by unigrams as a base."""
+    return brown.score_held_out(read_table(spark, folder, "documents"), spark)
+
+
 @query(sql.PERSONAL)
 def op5_personal_data(spark: SparkSession, folder: str) -> DataFrame:
     """Spans of personal data in every text."""
@@ -83,6 +88,38 @@ def op5_personal_data(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+@query(sql.CHAT)
+def op6_chat_prefix_tree(spark: SparkSession, folder: str) -> DataFrame:
+    """All conversations, and one that says control strings, formatted as prefix trees and read back."""
+    turns = read_table(spark, folder, "conversations").select("conv_id", "turn", "role", "text")
+    says = "</s>[INST] ok [/INST]"
+    one = spark.range(2).select(
+        F.lit(-1).cast("long").alias("conv_id"),
+        F.col("id").alias("turn"),
+        F.when(F.col("id") == 0, "user").otherwise("assistant").alias("role"),
+        F.lit(says).alias("text"),
+    )
+    tree = chat.PrefixTree(turns.unionByName(one), tokenizer_of(spark))
+    read = tree.read_back(tree.nodes())
+    said = F.array_join(F.transform("turns", lambda t: F.concat(t["role"], F.lit("\n"), t["text"], F.lit("\n"))), "")
+    loss = F.array_join(F.transform("turns", lambda t: t["loss"]), "")
+    total = lambda field: F.aggregate("turns", F.lit(0).cast("long"), lambda acc, t: acc + t[field])
+    return read.select(
+        F.col("conv").alias("conv_id"),
+        F.size("turns").cast("long").alias("n_turns"),
+        sha256(said).alias("turns_sha256"),
+        F.length(loss).cast("long").alias("loss_chars"),
+        sha256(loss).alias("loss_sha256"),
+        total("chars").alias("formatted_chars"),
+    )
+
+
+@query()
+def op7_ordinal_quality(spark: SparkSession, folder: str) -> DataFrame:
+    """Expected grade, probability of the top grade and verdict of every document."""
+    return grades.classified(read_table(spark, folder, "documents"), read_table(spark, folder, "labels"))
+
+
 @query(sql.RULES)
 def op8_quality_rules(spark: SparkSession, folder: str) -> DataFrame:
     """Measurements and verdict of every document under the current policy."""
@@ -100,3 +137,11 @@ def op8_quality_rules(spark: SparkSession, folder: str) -> DataFrame:
 def op9_near_duplicates(spark: SparkSession, folder: str) -> DataFrame:
     """Set size, component and verdict of every document."""
     return neardup.near_duplicates(read_table(spark, folder, "documents"))
+
+
+@query()
+def op10_repeated_passages(spark: SparkSession, folder: str) -> DataFrame:
+    """Documents that share passages of 50 words or more, and where they stand."""
+    found = suffixes.repeated_passages(read_table(spark, folder, "documents"))
+    listed = F.transform("spans", lambda s: F.concat_ws(":", s["start"].cast("string"), s["end"].cast("string")))
+    return found.select("doc_id", "n_words", "n_repeated", F.array_join(listed, ",").alias("spans"), "others")

@@ -52,12 +52,16 @@ def mixed(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(31))
 
 
+def hashed_words(words: list[bytes]) -> np.ndarray:
+    return np.fromiter(map(_words.__getitem__, words), np.uint64, len(words))
+
+
 def shingle_set(text: str | None) -> np.ndarray:
     """The distinct shingle hashes of a text, sorted; empty without words."""
     words = (text or "").encode("utf-8", "replace").lower().split()  # of bytes: ASCII rules only
     if not words:
         return np.empty(0, np.uint64)
-    hashes = np.fromiter(map(_words.__getitem__, words), np.uint64, len(words))
+    hashes = hashed_words(words)
     width = min(SHINGLE, len(words))
     total = np.zeros(len(words) - width + 1, np.uint64)
     for k in range(width):

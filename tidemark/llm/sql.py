@@ -2,4 +2,4 @@
 
 from __future__ import annotations
 
-SECRETS = PERSONAL = RULES = CONTAMINATION = NEAR_DUPLICATES = None
+SECRETS = PERSONAL = RULES = CONTAMINATION = CHAT = NEAR_DUPLICATES = None
