@@ -19,6 +19,7 @@ gives an empty table.
 from __future__ import annotations
 
 import base64
+import hashlib
 import struct
 import uuid
 from heapq import heappop, heappush
@@ -26,11 +27,11 @@ from heapq import heappop, heappush
 import pyarrow as pa
 from pyspark.sql import Column, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import StringType
+from pyspark.sql.types import BinaryType, LongType, StringType, StructField, StructType
 
 # Merged pre-tokens kept in a worker (twice as many at most), and the longest that is kept. They bound
 # the memory of a worker and change no result.
-CACHE_ENTRIES = 200_000
+CACHE_ENTRIES = 300_000
 CACHE_LENGTH = 48
 
 
@@ -42,46 +43,73 @@ def read_ranks(path: str) -> dict[bytes, int]:
 
 
 class RankQueue:
-    """Positions by rank: lowest rank first, of one rank the leftmost position first.
+    """The bitmaps of a queue of positions by rank, reused from one pre-token to the next.
 
-    Two levels of bitmaps: a word of ``1 << shift`` bits for as many ranks, and a
-    summary with a bit per word. The shift makes both about equally wide.
+    Two levels: a word of ``1 << shift`` bits for as many ranks, and a summary with
+    a bit per word. The shift makes both about equally wide. All bits are 0
+    between two pre-tokens.
     """
 
-    __slots__ = ("buckets", "mask", "shift", "summary", "words")
+    __slots__ = ("mask", "shift", "words")
 
     def __init__(self, ranks: int):
         self.shift = max(1, ranks.bit_length() // 2)
         self.mask = (1 << self.shift) - 1
         self.words = [0] * ((ranks >> self.shift) + 1)
-        self.summary = 0
-        self.buckets: dict[int, list[int]] = {}
-
-    def push(self, rank: int, position: int) -> None:
-        bucket = self.buckets.get(rank)
-        if bucket is not None:
-            heappush(bucket, position)
-            return
-        self.buckets[rank] = [position]
-        at = rank >> self.shift
-        if not self.words[at]:
-            self.summary |= 1 << at
-        self.words[at] |= 1 << (rank & self.mask)
-
-    def pop(self) -> tuple[int, int]:
-        """The next (rank, position) of a queue that is not empty (``summary`` is not 0)."""
-        at = (self.summary & -self.summary).bit_length() - 1
-        word = self.words[at]
-        low = word & -word
-        rank = (at << self.shift) | (low.bit_length() - 1)
-        bucket = self.buckets[rank]
-        if len(bucket) > 1:
-            return rank, heappop(bucket)
-        del self.buckets[rank]
-        self.words[at] = word = word ^ low
-        if not word:
-            self.summary ^= 1 << at
-        return rank, bucket[0]
+
+    def merge(self, piece: bytes, rank_of) -> list[int]:
+        """Where the tokens of a pre-token end: for each start of a token the next one.
+
+        ``rank_of`` gives the rank of a byte string, None if it is no token. The
+        queue's steps are written out in place, as they are the inner loop.
+        """
+        words, shift, mask = self.words, self.shift, self.mask
+        n, summary = len(piece), 0
+        buckets: dict[int, list[int]] = {}  # rank to a heap of positions
+        end = list(range(1, n + 1))  # linked list: where the piece at a position ends
+        before = list(range(-1, n - 1))
+        current = [rank_of(piece[i : i + 2]) for i in range(n - 1)]  # rank of the pair that starts here
+        current.append(None)
+        pushed = [(rank, i) for i, rank in enumerate(current) if rank is not None]
+        while True:
+            for rank, i in pushed:
+                if rank in buckets:
+                    heappush(buckets[rank], i)
+                else:
+                    buckets[rank] = [i]
+                    at = rank >> shift
+                    words[at] |= 1 << (rank & mask)
+                    summary |= 1 << at
+            if not summary:
+                return end
+            # Find-first-set in the summary, then in its word; leftmost position of that rank.
+            at = (summary & -summary).bit_length() - 1
+            word = words[at]
+            low = word & -word
+            rank = (at << shift) | (low.bit_length() - 1)
+            bucket = buckets[rank]
+            i = heappop(bucket)
+            if not bucket:
+                del buckets[rank]
+                words[at] = word = word ^ low
+                if not word:
+                    summary ^= 1 << at
+            pushed = []
+            if current[i] != rank:
+                continue  # stale: the pair was changed by another merge
+            gone = end[i]
+            end[i] = after = end[gone]
+            current[gone] = current[i] = None
+            if after < n:
+                before[after] = i
+                pair = current[i] = rank_of(piece[i : end[after]])
+                if pair is not None:
+                    pushed.append((pair, i))
+            left = before[i]
+            if left >= 0:
+                pair = current[left] = rank_of(piece[left:after])
+                if pair is not None:
+                    pushed.append((pair, left))
 
 
 class Vocabulary(dict):
@@ -118,34 +146,8 @@ class Vocabulary(dict):
         whole = self.ranks.get(piece)
         if whole is not None:
             return [whole]
-        rank_of, queue = self.ranks.get, self.queue
-        push, pop, n = queue.push, queue.pop, len(piece)
-        end = list(range(1, n + 1))  # where the piece at a position ends: the next link
-        before = list(range(-1, n - 1))
-        current = [rank_of(piece[i : i + 2]) for i in range(n - 1)]  # rank of the pair that starts here
-        current.append(None)
-        for i, rank in enumerate(current):
-            if rank is not None:
-                push(rank, i)
-        while queue.summary:
-            rank, i = pop()
-            if current[i] != rank:
-                continue  # stale
-            gone = end[i]
-            end[i] = after = end[gone]
-            current[gone] = current[i] = None
-            if after < n:
-                before[after] = i
-                pair = current[i] = rank_of(piece[i : end[after]])
-                if pair is not None:
-                    push(pair, i)
-            left = before[i]
-            if left >= 0:
-                pair = current[left] = rank_of(piece[left:after])
-                if pair is not None:
-                    push(pair, left)
-        ids, i = [], 0
-        while i < n:
+        end, ids, i = self.queue.merge(piece, self.ranks.get), [], 0
+        while i < len(piece):
             ids.append(self.ranks[piece[i : end[i]]])
             i = end[i]
         return ids
@@ -154,7 +156,7 @@ class Vocabulary(dict):
         """The ids of a whole text, packed as little-endian unsigned 32-bit integers."""
         return b"".join(map(self.__getitem__, self.find(text))) if text else b""
 
-    def decode(self, ids: list[int] | None) -> bytes:
+    def decode(self, ids) -> bytes:
         return b"".join(map(self.tokens.__getitem__, ids or ()))
 
 
@@ -192,7 +194,8 @@ class Tokenizer:
         def ids(texts: pa.Array) -> pa.Array:
             return encode_all(load(), texts)
 
-        return ids(text)
+        # Named nondeterministic so that Spark computes it once where its result is used twice.
+        return ids.asNondeterministic()(text)
 
     def decode(self, ids: Column) -> Column:
         """binary: the bytes that an array of ids stands for; an id outside the vocabulary is an error."""
@@ -205,6 +208,33 @@ class Tokenizer:
 
         return content(ids)
 
+    def round_trip(self, text: Column) -> Column:
+        """struct: number of ids, SHA-256 of the packed ids, and the bytes the ids decode to.
+
+        The same as ``encode``, ``ids_sha256`` and ``decode``, without the ids leaving the worker.
+        """
+        load = self._loader()
+
+        @F.arrow_udf(CHECKED)
+        def checked(texts: pa.Array) -> pa.Array:
+            vocabulary = load()
+            packed = [vocabulary.encode(t.as_py()) for t in texts]
+            return pa.StructArray.from_arrays(
+                [
+                    pa.array([len(p) // 4 for p in packed], pa.int64()),
+                    pa.array([hashlib.sha256(p).hexdigest() for p in packed], pa.string()),
+                    pa.array([vocabulary.decode(memoryview(p).cast("I")) for p in packed], pa.binary()),
+                ],
+                fields=[pa.field("n_tokens", pa.int64()), pa.field("ids_sha256", pa.string()), pa.field("decoded", pa.binary())],
+            )
+
+        return checked(text)
+
+
+CHECKED = StructType(
+    [StructField("n_tokens", LongType()), StructField("ids_sha256", StringType()), StructField("decoded", BinaryType())]
+)
+
 
 def encode_all(vocabulary: Vocabulary, texts: pa.Array) -> pa.Array:
     """A list array of ids, built from the packed ids without a Python integer per token."""
@@ -220,8 +250,6 @@ def encode_all(vocabulary: Vocabulary, texts: pa.Array) -> pa.Array:
 @F.arrow_udf(StringType())
 def ids_sha256(arrays: pa.Array) -> pa.Array:
     """Lower-case hex SHA-256 of ids as little-endian unsigned 32-bit integers."""
-    import hashlib
-
     values = arrays.values.cast(pa.int32())
     view = memoryview(values.buffers()[1] or b"").cast("B")
     starts = [(values.offset + o) * 4 for o in arrays.offsets.to_pylist()]
