@@ -1,5 +1,228 @@
-"""DuckDB SQL for the same rows as the numbered queries, written on its own."""
+"""DuckDB SQL for the same rows as the numbered queries, written on its own.
+
+There is none where SQL cannot say it: token merges (op1), class clustering (op4),
+a fitted classifier (op7) and the neighbours in a suffix order (op10).
+"""
 
 from __future__ import annotations
 
-SECRETS = PERSONAL = RULES = CONTAMINATION = CHAT = NEAR_DUPLICATES = None
+LOWER = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+BLANK_WORD = r"[^\x20\x09-\x0D]+"
+PLAIN_WORD = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"
+
+
+def _either(word: str) -> str:
+    return "".join(f"[{c}{c.upper()}]" if c.isalpha() else c for c in word)
+
+
+def _spans(kind: str, pattern: str, group: int = 0, source: str = "src") -> str:
+    """Rows (rid, kind, s, e, found) of the matches of a pattern in the texts of ``source``."""
+    quoted = pattern.replace("'", "''")
+    return f"""
+  SELECT rid, '{kind}' AS kind, t,
+         coalesce(list_sum(list_transform(between[1:i], lambda x: length(x))), 0)
+           + coalesce(list_sum(list_transform(whole[1:i - 1], lambda x: length(x))), 0) AS s,
+         coalesce(list_sum(list_transform(between[1:i], lambda x: length(x))), 0)
+           + coalesce(list_sum(list_transform(whole[1:i], lambda x: length(x))), 0) AS e,
+         found[i] AS found
+  FROM (SELECT rid, t, string_split_regex(t, '{quoted}') AS between, regexp_extract_all(t, '{quoted}') AS whole,
+               regexp_extract_all(t, '{quoted}', {group}) AS found
+        FROM {source}) AS m, unnest(range(1, len(whole) + 1)) AS u(i)"""
+
+
+def _listed(kinds: list[str], base: list[str], key: str = "rid") -> str:
+    rank = " ".join(f"WHEN '{k}' THEN {i}" for i, k in enumerate(kinds))
+    names = ", ".join(f"'{k}'" for k in base)
+    order = f"ORDER BY s, CASE kind {rank} END, e"
+    one = "kind || ':' || CAST(s AS BIGINT) || ':' || CAST(e AS BIGINT)"
+    return f"""SELECT {key},
+    string_agg({one}, ',' {order}) FILTER (WHERE kind IN ({names})) AS base,
+    string_agg({one}, ',' {order}) AS spans,
+    {", ".join(f"count(*) FILTER (WHERE kind = '{k}') AS n_{k}" for k in base)}
+  FROM found GROUP BY {key}"""
+
+
+def _result(base: list[str]) -> str:
+    counts = ", ".join(f"CAST(coalesce(n_{k}, 0) AS BIGINT) AS n_{k}" for k in base)
+    return f"""SELECT doc_id, {counts}, sha256(coalesce(base, '')) AS base_sha256, coalesce(spans, '') AS spans
+FROM src LEFT JOIN listed USING (rid)"""
+
+
+SOURCE = "src AS (SELECT row_number() OVER () AS rid, doc_id, coalesce(text, '') AS t FROM documents)"
+
+CONTAMINATION = f"""WITH d AS (
+  SELECT row_number() OVER () AS rid, doc_id, regexp_extract_all({LOWER}, '{PLAIN_WORD}') AS words FROM documents
+), b AS (
+  SELECT coalesce(CAST(item_id AS VARCHAR), '') AS item, regexp_extract_all({LOWER}, '{PLAIN_WORD}') AS words FROM benchmark
+), bn AS (SELECT item, words, least(10, len(words)) AS n FROM b WHERE len(words) > 0
+), bw AS (
+  SELECT DISTINCT item, n, array_to_string(words[i:i + n - 1], ' ') AS win
+  FROM bn, unnest(range(1, len(words) - n + 2)) AS u(i)
+), ns AS (SELECT DISTINCT n FROM bw
+), dw AS (
+  SELECT rid, i, n, array_to_string(words[i:i + n - 1], ' ') AS win
+  FROM d CROSS JOIN ns, unnest(range(1, len(words) - n + 2)) AS u(i)
+), hit AS (SELECT rid, i, n, item FROM dw JOIN bw USING (n, win)
+), hits AS (
+  SELECT rid, count(DISTINCT p) AS n_hit
+  FROM (SELECT DISTINCT rid, i, n FROM hit) AS h, unnest(range(i, i + n)) AS u(p) GROUP BY rid
+), items AS (
+  SELECT rid, count(DISTINCT item) AS n_items, string_agg(DISTINCT item, ',' ORDER BY item) AS items FROM hit GROUP BY rid
+)
+SELECT doc_id, CAST(len(words) AS BIGINT) AS n_words, CAST(coalesce(n_hit, 0) AS BIGINT) AS n_hit,
+       CAST(coalesce(n_items, 0) AS BIGINT) AS n_items, sha256(coalesce(items, '')) AS items_sha256,
+       coalesce(n_hit, 0) > 0 AS contaminated
+FROM d LEFT JOIN hits USING (rid) LEFT JOIN items USING (rid)"""
+
+_NAMES = "|".join([*map(_either, ("password", "passwd", "secret", "token")), _either("api") + "_?" + _either("key")])
+_ASSIGN = rf"""({_NAMES})["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)"""
+
+SECRETS = f"""WITH {SOURCE}, known AS (
+  SELECT * FROM ({_spans("assign", _ASSIGN, 2)}) WHERE length(found) >= 6
+  UNION ALL SELECT * FROM ({_spans("access", "AKIA[A-Z0-9]+")}) WHERE length(found) >= 20
+  UNION ALL SELECT * FROM ({_spans("hex", "[0-9a-f]{24,}")})
+), candidate AS (
+  SELECT row_number() OVER () AS cid, rid, s, e, found,
+    CASE WHEN regexp_matches(found, '^([0-9]*[a-f][0-9a-f]*|[0-9]*[A-F][0-9A-F]*)$') THEN 'entropy_hex'
+         WHEN regexp_matches(found, '^([a-z]*[0-9][a-z0-9]*|[A-Z]*[0-9][A-Z0-9]*)$') THEN 'entropy_alnum'
+         WHEN regexp_matches(found, '[0-9+/]') THEN 'entropy_base64' END AS kind
+  FROM ({_spans("candidate", "[A-Za-z0-9+/_-]{20,}")})
+  WHERE NOT regexp_matches(found, '^[0-9a-fA-F]{{8}}-[0-9a-fA-F]{{4}}-[0-9a-fA-F]{{4}}-[0-9a-fA-F]{{4}}-[0-9a-fA-F]{{12}}$|^[0-9-]+$|{_either("example")}|{_either("placeholder")}|[Xx]{{6}}|0123456789|{_either("abcdefgh")}')
+), letters AS (
+  SELECT cid, w, substr(found, CAST(w + j AS BIGINT), 1) AS ch, count(*) AS n
+  FROM candidate, unnest(range(1, length(found) - 18)) AS u(w), unnest(range(0, 20)) AS v(j)
+  WHERE kind IS NOT NULL GROUP BY cid, w, ch
+), entropy AS (
+  SELECT cid, max(bits) AS bits FROM (SELECT cid, w, log2(20) - sum(n * log2(n)) / 20 AS bits FROM letters GROUP BY cid, w) GROUP BY cid
+), found AS (
+  SELECT rid, kind, s, e FROM known
+  UNION ALL
+  SELECT rid, kind, s, e FROM candidate JOIN entropy USING (cid)
+  WHERE bits >= CASE kind WHEN 'entropy_hex' THEN 3.0 WHEN 'entropy_alnum' THEN 3.5 ELSE 3.8 END - 1e-6
+), listed AS (
+  {_listed(["assign", "access", "hex", "entropy_hex", "entropy_alnum", "entropy_base64"], ["assign", "access", "hex"])}
+)
+{_result(["assign", "access", "hex"])}"""
+
+_DIGITS = "regexp_replace(found, '[^0-9]', '', 'g')"
+_LUHN = f"""list_sum(list_transform(range(1, length({_DIGITS}) + 1), lambda i:
+    CASE WHEN i % 2 = 0 THEN (2 * CAST(substr(reverse({_DIGITS}), i, 1) AS INT)) // 10 + (2 * CAST(substr(reverse({_DIGITS}), i, 1) AS INT)) % 10
+         ELSE CAST(substr(reverse({_DIGITS}), i, 1) AS INT) END)) % 10 = 0"""
+_COMPACT = "replace(found, ' ', '')"
+_MOVED = f"(substr({_COMPACT}, 5) || substr({_COMPACT}, 1, 4))"
+_MOD_97 = f"""list_reduce(list_transform(range(1, length({_MOVED}) + 1), lambda i:
+    CAST(instr('0123456789ABCDEFGHIJKLMNOPQRSTUVWXYZ', substr({_MOVED}, i, 1)) - 1 AS BIGINT)),
+    lambda a, v: (a * (CASE WHEN v > 9 THEN 100 ELSE 10 END) + v) % 97, CAST(0 AS BIGINT)) = 1"""
+
+
+def _own(kind: str, pattern: str, near: str, start: int, words_for: str, words_against: str, check: str = "true") -> str:
+    """A kind of the method: no character of ``near`` beside it, and a score of 60 with its context."""
+
+    def has(words: str) -> str:
+        return f"regexp_matches(ctx, '(^|[^A-Za-z])({'|'.join(map(_either, words.split('|')))})($|[^A-Za-z])')"
+
+    return f"""SELECT rid, kind, s, e FROM (
+    SELECT *, substr(t, CAST(greatest(s - 40, 0) + 1 AS BIGINT), CAST(least(s, 40) AS BIGINT)) AS ctx
+    FROM ({_spans(kind, pattern)}))
+  WHERE {near} AND {check}
+    AND {start} + CASE WHEN {has(words_for)} THEN 40 ELSE 0 END - CASE WHEN {has(words_against)} THEN 40 ELSE 0 END >= 60"""
+
+
+_BEFORE = "(CASE WHEN s = 0 THEN '' ELSE substr(t, CAST(s AS BIGINT), 1) END)"
+_AFTER = "substr(t, CAST(e + 1 AS BIGINT), 1)"
+_AFTER_2 = "substr(t, CAST(e + 1 AS BIGINT), 2)"
+_PART = r"0*(25[0-5]|2[0-4][0-9]|1[0-9][0-9]|[0-9]{1,2})"
+
+PERSONAL = f"""WITH {SOURCE}, base AS (
+  SELECT rid, kind, s, e FROM ({_spans("email", r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+")})
+  UNION ALL SELECT rid, kind, s, e FROM ({_spans("ip", r"[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)")})
+    WHERE regexp_matches(found, '^{_PART}\\.{_PART}\\.{_PART}\\.{_PART}$')
+  UNION ALL SELECT rid, kind, s, e FROM ({_spans("card", r"[0-9]([\x20-]?[0-9])+")})
+    WHERE CASE WHEN length({_DIGITS}) BETWEEN 14 AND 19 THEN {_LUHN} ELSE false END
+  UNION ALL SELECT rid, kind, s, e FROM ({_spans("phone", r"\+[0-9][\x20().0-9-]+[0-9]")})
+    WHERE length({_DIGITS}) BETWEEN 10 AND 15
+), own AS (
+  {_own("iban", r"[A-Z]{2}[0-9]{2}(\x20?[A-Z0-9]){11,30}", f"NOT regexp_matches({_BEFORE} || '|' || {_AFTER}, '[A-Za-z0-9]')", 70, "iban|account|bank|konto|compte|cuenta|transfer", "example|sample", f"length({_COMPACT}) BETWEEN 15 AND 34 AND {_MOD_97}")}
+  UNION ALL {_own("ssn", "[0-9]{3}-[0-9]{2}-[0-9]{4}", f"NOT regexp_matches({_BEFORE} || '|' || {_AFTER}, '[0-9-]')", 40, "ssn|social|security", "order|invoice|part|serial|version")}
+  UNION ALL {_own("local_phone", r"\(?[0-9]{3}\)?[\x20.-]?[0-9]{3}[\x20.-]?[0-9]{4}", f"NOT regexp_matches({_BEFORE}, '[0-9+.-]') AND NOT regexp_matches({_AFTER_2}, '^[0-9.-]?[0-9]')", 20, "phone|tel|call|mobile|cell|fax|telefon", "order|invoice|part|serial|item|id")}
+), found AS (
+  SELECT * FROM base
+  UNION ALL
+  SELECT * FROM own WHERE NOT EXISTS (SELECT 1 FROM base WHERE base.rid = own.rid AND base.s <= own.s AND own.e <= base.e)
+), listed AS (
+  {_listed(["email", "ip", "card", "phone", "iban", "ssn", "local_phone"], ["email", "ip", "card", "phone"])}
+)
+{_result(["email", "ip", "card", "phone"])}"""
+
+_CONTROL = r"<\\*s>|<\\*/s>|\[\\*INST\]|\[\\*/INST\]|<\\*<SYS>>|<\\*</SYS>>"
+
+
+def _escaped_length(text: str) -> str:
+    return f"length({text}) + len(regexp_extract_all({text}, '{_CONTROL}'))"
+
+
+CHAT = f"""WITH turns AS (
+  SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
+  UNION ALL SELECT -1, 0, 'user', '</s>[INST] ok [/INST]'
+  UNION ALL SELECT -1, 1, 'assistant', '</s>[INST] ok [/INST]'
+)
+SELECT conv_id, count(*) AS n_turns,
+  sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn NULLS FIRST, role, text)) AS turns_sha256,
+  CAST(coalesce(sum(length(text)) FILTER (WHERE role = 'assistant'), 0) AS BIGINT) AS loss_chars,
+  sha256(coalesce(string_agg(text, '' ORDER BY turn NULLS FIRST, role, text) FILTER (WHERE role = 'assistant'), '')) AS loss_sha256,
+  CAST(sum({len("<s>[INST] ") + len(" [/INST]") + len("</s>")} + {_escaped_length("role")} + {_escaped_length("text")}) AS BIGINT) AS formatted_chars
+FROM turns GROUP BY conv_id"""
+
+RULES = f"""WITH d AS (
+  SELECT row_number() OVER () AS rid, doc_id, coalesce(text, '') AS t,
+         regexp_extract_all(coalesce(text, ''), '{BLANK_WORD}') AS words FROM documents
+), lines AS (
+  SELECT rid, count(*) AS n_lines, count(*) - count(DISTINCT line) AS n_dup_lines
+  FROM (SELECT rid, unnest(string_split(t, chr(10))) AS line FROM d) WHERE regexp_matches(line, '{BLANK_WORD}') GROUP BY rid
+), windows AS (
+  SELECT rid, i, words[i:i + 4] AS win FROM d, unnest(range(1, len(words) - 3)) AS u(i)
+), often AS (SELECT rid, win FROM windows GROUP BY rid, win HAVING count(*) > 1
+), repeats AS (
+  SELECT rid, count(DISTINCT p) AS n_repeat_words
+  FROM (SELECT rid, i FROM windows JOIN often USING (rid, win)) AS w, unnest(range(i, i + 5)) AS u(p) GROUP BY rid
+), m AS (
+  SELECT doc_id, CAST(len(words) AS BIGINT) AS n_words,
+    CAST(coalesce(list_sum(list_transform(words, lambda w: length(w))), 0) AS BIGINT) AS word_chars,
+    CAST(length(regexp_replace(t, '[^#*$%&|<>]', '', 'g')) AS BIGINT) AS n_symbols,
+    CAST(coalesce(n_dup_lines, 0) AS BIGINT) AS n_dup_lines,
+    CAST(coalesce(n_repeat_words, 0) AS BIGINT) AS n_repeat_words,
+    coalesce(n_lines, 0) AS n_lines,
+    len(list_filter(words, lambda w: regexp_matches(w, '[A-Z]') AND NOT regexp_matches(w, '[a-z]') AND strlen(w) > 2)) AS n_caps,
+    len(list_filter(words, lambda w: regexp_matches(w, '^([A-Za-z0-9]|[^\\x00-\\x7F])'))) AS n_plain
+  FROM d LEFT JOIN lines USING (rid) LEFT JOIN repeats USING (rid)
+), judged AS (
+  SELECT *, n_words < 10 OR 100 * n_repeat_words > 20 * n_words AS base_failed FROM m
+)
+SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
+  NOT (base_failed
+    OR (10 * n_symbols > n_words AND n_symbols >= 3)
+    OR (100 * n_dup_lines > 30 * n_lines AND n_dup_lines >= 2)
+    OR (n_words > 0 AND (word_chars < 2 * n_words OR word_chars > 20 * n_words))
+    OR 100 * n_caps > 50 * n_words
+    OR 100 * n_plain < 60 * n_words) AS kept
+FROM judged"""
+
+NEAR_DUPLICATES = f"""WITH RECURSIVE d AS (
+  SELECT row_number() OVER () AS rid, doc_id, regexp_extract_all({LOWER}, '{BLANK_WORD}') AS words FROM documents
+), n AS (SELECT rid, doc_id, words, least(5, len(words)) AS k FROM d
+), s AS (
+  SELECT DISTINCT rid, array_to_string(words[i:i + k - 1], ' ') AS shingle
+  FROM n, unnest(range(1, len(words) - k + 2)) AS u(i) WHERE k > 0
+), size AS (SELECT rid, count(*) AS n_shingles FROM s GROUP BY rid
+), pairs AS (
+  SELECT a.rid AS x, b.rid AS y, count(*) AS inter FROM s AS a JOIN s AS b USING (shingle) WHERE a.rid <> b.rid GROUP BY 1, 2
+), links AS (
+  SELECT x, y FROM pairs JOIN size AS p ON p.rid = x JOIN size AS q ON q.rid = y
+  WHERE 100 * inter >= 75 * (p.n_shingles + q.n_shingles - inter)
+), reach(x, y) AS (
+  SELECT rid, rid FROM d UNION SELECT reach.x, links.y FROM reach JOIN links ON reach.y = links.x
+), component AS (SELECT x AS rid, min(doc_id) AS component_id FROM reach JOIN d ON d.rid = reach.y GROUP BY x
+)
+SELECT doc_id, CAST(coalesce(n_shingles, 0) AS BIGINT) AS n_shingles, component_id,
+       doc_id IS NOT DISTINCT FROM component_id AS kept
+FROM d JOIN component USING (rid) LEFT JOIN size USING (rid)"""
