@@ -154,5 +154,63 @@ def test_versions_and_lookup(spark, seed):
     same(as_of(facts, history, "k", "at", ["tier"], ["fact"], TINY), expected)
     from tidemark.operators import history as module
 
-    same(module._by_carrying(facts, history, "k", "at", ["tier"], ["fact"], TINY), expected)
-    same(module._by_interval(facts, history, "k", "at", ["tier"]), expected)
+    single = module.one_at_a_time(history, "k", history.schema["valid_from"].dataType, ["tier"])
+    kind = history.schema["valid_from"].dataType
+    same(module._by_carrying(facts, single, "k", "at", kind, ["tier"], ["fact"], TINY), expected)
+    same(module._by_interval(facts, single, "k", "at", kind, ["tier"]), expected)
+
+
+@pytest.mark.parametrize("few", [True, False])
+def test_lookup_has_one_answer_at_any_size(spark, monkeypatch, few):
+    """No start, no end, overlap, zero length, equal starts, dates against times: both ways of the lookup agree."""
+    from tidemark.operators import history as module
+
+    monkeypatch.setattr(module, "may_broadcast", lambda df: few)
+    history = spark.createDataFrame(
+        [
+            (1, "2024-01-10 12:00", "2024-01-20 00:00", "a"),
+            (1, "2024-01-15 00:00", "2024-01-17 00:00", "b"),  # inside the first: it counts while it lasts, then none
+            (1, None, "2024-02-01 00:00", "no start"),
+            (1, "2024-01-25 00:00", "2024-01-25 00:00", "zero length"),
+            (1, "2024-01-28 00:00", None, "open"),
+            (2, "2024-01-01 00:00", "2024-01-05 00:00", "short"),
+            (2, "2024-01-01 00:00", "2024-01-09 00:00", "long"),
+            (None, "2024-01-01 00:00", None, "no key"),
+        ],
+        "k int, f string, t string, tier string",
+    ).selectExpr("k", "cast(f as timestamp_ntz) AS valid_from", "cast(t as timestamp_ntz) AS valid_to", "tier")
+    asked = [
+        (1, "2024-01-10", None), (1, "2024-01-11", "a"), (1, "2024-01-15", "b"), (1, "2024-01-18", None), (1, "2024-01-25", None),
+        (1, "2024-01-28", "open"), (1, "2030-01-01", "open"), (2, "2024-01-03", "long"), (2, "2024-01-07", "long"),
+        (2, "2024-01-09", None), (3, "2024-01-03", None), (None, "2024-01-03", None), (1, None, None),
+    ]
+    facts = spark.createDataFrame([(i, k, d) for i, (k, d, _) in enumerate(asked)], "fact int, k int, d string")
+    facts = facts.selectExpr("fact", "k", "cast(d as date) AS at")
+    got = as_of(facts, history, "k", "at", ["tier"], ["fact"], TINY)
+    assert got.columns == ["fact", "k", "at", "tier"]
+    assert {r.fact: r.tier for r in got.collect()} == {i: tier for i, (_, _, tier) in enumerate(asked)}
+
+
+def test_a_stored_mark_never_goes_back(spark, tmp_path):
+    from tidemark.operators import history as module
+
+    path = str(tmp_path / "mark")
+    day = lambda *d: spark.createDataFrame([(x,) for x in d], "d string").selectExpr("cast(d as timestamp) AS t")
+    assert module.read_mark(spark, path) is None
+    module.save_mark(day("2024-01-02 10:00"), "t", path)
+    first = module.read_mark(spark, path)
+    module.save_mark(day().limit(0), "t", path)
+    module.save_mark(day("2024-01-01 10:00", None), "t", path)
+    assert module.read_mark(spark, path) == first
+    assert module.since(day("2024-01-02 10:00", "2024-01-02 11:00"), "t", first).count() == 1
+    zone = spark.conf.get("spark.sql.session.timeZone")
+    rows = day("2024-01-02 10:00", "2024-01-02 10:00:01").cache()
+    assert rows.count() == 2
+    try:
+        spark.conf.set("spark.sql.session.timeZone", "America/New_York")
+        assert module.since(rows, "t", module.read_mark(spark, path)).count() == 1
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", zone)
+    # A write that died leaves its temporary folder; the mark is still there.
+    (tmp_path / "mark" / "_temporary" / "0").mkdir(parents=True)
+    assert module.read_mark(spark, path) == first

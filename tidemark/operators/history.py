@@ -2,16 +2,17 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import DataType, TimestampType
 
 from tidemark.functions.money import percent
 from tidemark.operators.blocks import Limits
 from tidemark.operators.relational import after
 from tidemark.operators.windows import carried_forward, neighbours
-from tidemark.plans.sizing import broadcast_if_few, may_broadcast
+from tidemark.plans.sizing import broadcast_if_few, fits_one_task, may_broadcast
 from tidemark.sources.readers import MissingInput, read_required
-from tidemark.sources.sinks import write_parquet
+from tidemark.sources.scratch import frozen
 
 # Fixed value: the end of a version that is still valid.
 OPEN_END = "9999-12-31"
@@ -40,17 +41,29 @@ def increment_report(df: DataFrame, column: str, mark: str) -> DataFrame:
     return counts.select("total_records", "incremental_records", share.alias("incremental_ratio"), "next_mark")
 
 
+def _as_text(mark: Column, kind: DataType) -> Column:
+    """Text that casts back to the same value; an instant carries its offset, so any session zone reads it alike."""
+    return F.date_format(mark, "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX") if isinstance(kind, TimestampType) else mark.cast("string")
+
+
 def read_mark(spark: SparkSession, path: str) -> str | None:
     """The stored high-water mark, None before the first run."""
     try:
-        return read_required(spark, path).agg(F.max("mark")).first()[0]
+        marks = read_required(spark, path)
     except MissingInput:
         return None
+    return marks.agg(_as_text(F.max("mark"), marks.schema["mark"].dataType)).first()[0]
 
 
 def save_mark(df: DataFrame, column: str, path: str) -> str:
-    """Store the latest moment of the processed rows as a one-row table."""
-    return write_parquet(df.agg(F.max(column).cast("string").alias("mark")), path)
+    """Add the latest moment of the processed rows to the stored marks.
+
+    The mark is the greatest one stored, so it never goes back: an empty increment
+    adds nothing. Marks are appended in their own type; a run that dies while
+    writing leaves the earlier ones untouched.
+    """
+    df.agg(F.max(column).alias("mark")).filter("mark IS NOT NULL").coalesce(1).write.mode("append").parquet(path)
+    return path
 
 
 # --- versioned dimensions ---------------------------------------------------------
@@ -89,63 +102,96 @@ def as_of(
 ) -> DataFrame:
     """The version that is valid at the moment of each fact.
 
-    A version is valid at ``t`` when ``valid_from <= t < valid_to``. Facts without
-    one keep NULL attributes. The versions of a key must not overlap. ``tie``
-    names the columns that identify a fact, so that many facts of one key and
-    moment can be spread over tasks.
-
-    A small history with few versions per key is broadcast and joined on the key,
-    with the interval as a condition. Otherwise facts and versions are stacked
-    and, per key in time order, the last version is carried to the facts: one
-    shuffle, no pair of fact and version is ever built, and a key with a third of
-    the facts or of the versions is cut into blocks.
+    Of the versions that have started (``valid_from <= t``) the one that started
+    last counts, of equal starts the one that ends last; it is valid while ``t <
+    valid_to``, and a NULL ``valid_to`` never ends. Versions without a start, and
+    versions that end when or before they start, are never valid. Facts without a
+    valid version keep NULL attributes. Moments are compared in the wider of the
+    two types. ``tie`` names the columns that identify a fact, so that many facts
+    of one key and moment can be spread over tasks.
+
+    The history is first brought into this form, one version at a time. A small one
+    with few versions per key is then broadcast and joined on the key, with the
+    interval as a condition. Otherwise facts and versions are stacked and, per key
+    in time order, the last version is carried to the facts: one shuffle, no pair
+    of fact and version is ever built, and a key with a third of the facts or of
+    the versions is cut into blocks. Both give the same rows.
     """
+    wide = _wider(facts, moment, history, "valid_from")
+    single = one_at_a_time(history, key, wide, attributes, limits)
     if may_broadcast(history):
-        per_key = history.groupBy(key).agg(F.count(F.lit(1)).alias("n"))
+        per_key = single.groupBy(key).agg(F.count(F.lit(1)).alias("n"))
         most, rows = per_key.agg(F.max("n"), F.sum("n")).first()
         if (most or 0) <= VERSIONS_PER_KEY:
-            return _by_interval(facts, broadcast_if_few(history, rows or 0), key, moment, attributes)
-    return _by_carrying(facts, history, key, moment, attributes, tie, limits)
+            return _by_interval(facts, broadcast_if_few(single, rows or 0), key, moment, wide, attributes)
+    return _by_carrying(facts, single, key, moment, wide, attributes, tie, limits)
+
 
+def _wider(left: DataFrame, a: str, right: DataFrame, b: str) -> DataType:
+    """The type in which Spark would compare two columns."""
+    kinds = left.schema[a].dataType, right.schema[b].dataType
+    if kinds[0] == kinds[1]:
+        return kinds[0]
+    both = F.coalesce(*(F.lit(None).cast(k) for k in kinds)).alias("c")
+    return left.sparkSession.range(0).select(both).schema["c"].dataType
 
-def _by_interval(facts: DataFrame, history: DataFrame, key: str, moment: str, attributes: list[str]) -> DataFrame:
-    version = history.select(F.col(key).alias("_key"), "valid_from", "valid_to", *attributes)
-    valid = (
-        (F.col(key) == F.col("_key"))
-        & (F.col("valid_from") <= F.col(moment))
-        & (F.col(moment) < F.col("valid_to"))
+
+def one_at_a_time(history: DataFrame, key: str, kind: DataType, attributes: list[str], limits: Limits = Limits()) -> DataFrame:
+    """(key, valid_from, valid_to, attributes) without overlap: a version ends where the next one starts."""
+    start, end = F.col("valid_from").cast(kind), F.col("valid_to").cast(kind)
+    usable = history.select(key, start.alias("valid_from"), end.alias("valid_to"), *attributes).filter(
+        F.col("valid_from").isNotNull() & (F.col("valid_to").isNull() | (F.col("valid_from") < F.col("valid_to")))
+    )
+    whole = F.struct("valid_to", *attributes)
+    last = F.max_by(whole, F.struct(F.col("valid_to").isNull(), "valid_to", *(F.to_json(F.struct(a)) for a in attributes)))
+    once = usable.groupBy(key, "valid_from").agg(last.alias("_v")).select(key, "valid_from", "_v.*")
+    following = neighbours(once, [key], ["valid_from"], after={"_next": "valid_from"}, limits=limits)
+    return following.select(key, "valid_from", F.least("valid_to", "_next").alias("valid_to"), *attributes)
+
+
+def _by_interval(
+    facts: DataFrame, single: DataFrame, key: str, moment: str, kind: DataType, attributes: list[str]
+) -> DataFrame:
+    version = single.select(
+        F.col(key).alias("_key"), F.col("valid_from").alias("_from"), F.col("valid_to").alias("_to"), *(F.col(a).alias(f"_v_{a}") for a in attributes)
     )
-    return facts.join(version, valid, "left").select(*facts.columns, *attributes)
+    at = F.col(moment).cast(kind)
+    valid = (F.col(key) == F.col("_key")) & (F.col("_from") <= at) & (F.col("_to").isNull() | (at < F.col("_to")))
+    return facts.join(version, valid, "left").select(*facts.columns, *(F.col(f"_v_{a}").alias(a) for a in attributes))
 
 
 def _by_carrying(
     facts: DataFrame,
-    history: DataFrame,
+    single: DataFrame,
     key: str,
     moment: str,
+    kind: DataType,
     attributes: list[str],
     tie: list[str],
     limits: Limits,
 ) -> DataFrame:
-    version = F.struct("valid_from", "valid_to", *attributes)
-    moments = history.select(
+    version = F.struct("valid_to", *attributes)
+    moments = single.select(
         F.col(key).alias("_key"),
-        F.col("valid_from").cast(facts.schema[moment].dataType).alias("_at"),
+        F.col("valid_from").alias("_at"),
         F.lit(0).alias("_kind"),  # a version opens before the facts of its moment
-        F.col("valid_to").alias("_until"),
         version.alias("_version"),
     )
     rows = facts.select(
         F.col(key).alias("_key"),
-        F.col(moment).alias("_at"),
+        F.col(moment).cast(kind).alias("_at"),
         F.lit(1).alias("_kind"),
         F.struct(*facts.columns).alias("_fact"),
         *(F.col(c).alias(f"_tie_{c}") for c in tie),
     )
     stacked = moments.unionByName(rows, allowMissingColumns=True)
-    carried = carried_forward(stacked, ["_key"], ["_at", "_kind", "_until", *(f"_tie_{c}" for c in tie)], "_version", limits)
-    # A NULL key groups with itself in a window, yet matches nothing in a lookup.
-    valid = F.col("_key").isNotNull() & (F.col("_at") < F.col("_version.valid_to"))
+    if not fits_one_task(stacked):
+        # Counting and both kinds of groups read it: stored once rather than joined thrice.
+        stacked = frozen(stacked, "as-of")
+    carried = carried_forward(stacked, ["_key"], ["_at", "_kind", *(f"_tie_{c}" for c in tie)], "_version", limits)
+    # A NULL key groups with itself in a window, yet matches nothing in a lookup; so does a NULL moment.
+    until = F.col("_version.valid_to")
+    valid = F.col("_key").isNotNull() & F.col("_at").isNotNull() & (until.isNull() | (F.col("_at") < until))
     return carried.filter(F.col("_kind") == 1).select(
         *(F.col(f"_fact.{c}").alias(c) for c in facts.columns),
         *(F.when(valid, F.col(f"_version.{a}")).alias(a) for a in attributes),

@@ -10,6 +10,7 @@ from tidemark.operators.relational import duplicate_count, stacked
 from tidemark.queries.registry import CLICKS, money, query, rounded
 from tidemark.sources.clicks import PURCHASE, clicks
 from tidemark.sources.readers import read_table
+from tidemark.sources.scratch import fresh_dir
 
 MARK = "2024-01-15T00:00:00"
 CRITICAL = ["event_id", "user_id", "event_timestamp", "event_type"]
@@ -23,7 +24,11 @@ CHECKED = [*CRITICAL, "product_id", "total_amount", "coupon"]
     max(ts) AS next_mark FROM events"""
 )
 def prd_01_incremental(spark, sf):
-    return history.increment_report(read_table(spark, sf, "events"), "ts", MARK)
+    """The mark is stored after the rows up to MARK, and once more after none; the report starts from the stored one."""
+    events, path = read_table(spark, sf, "events"), fresh_dir(spark, "mark")
+    history.save_mark(events.filter(F.col("ts") <= F.lit(MARK).cast("timestamp_ntz")), "ts", path)
+    history.save_mark(events.filter(F.col("ts").isNull()), "ts", path)
+    return history.increment_report(events, "ts", history.read_mark(spark, path) or MARK)
 
 
 @query(
