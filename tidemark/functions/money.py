@@ -1,8 +1,10 @@
-"""Exact sums of cent amounts, rounding and ratios.
+"""Exact sums of amounts, rounding and ratios.
 
 A sum of doubles depends on the order in which partial sums meet, so two runs of
-one job may differ in the last digit. Cent amounts are summed as decimals, which
-is associative, and turned back into doubles at the end.
+one job may differ in the last digit. Amounts are summed as decimals, which is
+associative, and turned back into doubles at the end. The decimal keeps six
+places and 32 digits before them; what does not fit (NaN, infinities, larger
+amounts) counts as no amount and never ends a job.
 """
 
 from __future__ import annotations
@@ -10,21 +12,29 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-CENTS = "decimal(18,2)"
+PLACES = 6
+# Amounts from here on are not taken for amounts: 10**16 of them fit into one sum.
+LARGEST = 10**15
 
 
 def _col(c: Column | str) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
 
-def cents(c: Column | str) -> Column:
-    return _col(c).cast(CENTS)
+def amount(c: Column | str, places: int = PLACES) -> Column:
+    """An amount as an exact decimal of ``places`` places; NULL where it does not fit."""
+    return _col(c).try_cast(f"decimal(38,{places})")
+
+
+def representable(c: Column | str) -> Column:
+    """Whether a value is absent or an amount that sums can hold, with room for many of its size."""
+    return _col(c).isNull() | F.coalesce(F.abs(amount(c)) < F.lit(LARGEST).cast("decimal(38,0)"), F.lit(False))
 
 
 def money_sum(c: Column | str, where: Column | None = None) -> Column:
     """Exact sum as double. NULLs are skipped; no value at all gives NULL."""
-    amount = cents(c)
-    return F.sum(amount if where is None else F.when(where, amount)).cast("double")
+    value = amount(c)
+    return F.try_sum(value if where is None else F.when(where, value)).cast("double")
 
 
 def money_sum_or_zero(c: Column | str, where: Column) -> Column:
@@ -33,12 +43,12 @@ def money_sum_or_zero(c: Column | str, where: Column) -> Column:
     A matching row without an amount adds nothing, and a group that holds
     nothing else has no sum (NULL).
     """
-    return F.sum(F.when(where, cents(c)).otherwise(F.lit(0).cast(CENTS))).cast("double")
+    return F.try_sum(F.when(where, amount(c)).otherwise(amount(F.lit(0)))).cast("double")
 
 
 def money_avg(c: Column | str) -> Column:
-    amount = cents(c)
-    return F.try_divide(F.sum(amount).cast("double"), F.count(amount))
+    value = amount(c)
+    return F.try_divide(F.try_sum(value).cast("double"), F.count(value))
 
 
 def ratio(a: Column | str, b: Column | str) -> Column:

@@ -9,9 +9,6 @@ from tidemark.functions.casts import bit
 from tidemark.operators.blocks import Limits
 from tidemark.operators.windows import numbered
 
-# Values that one output row may list.
-LIST_ROWS = 10_000
-
 
 def count_where(predicate: Column) -> Column:
     """Number of rows for which the predicate holds."""
@@ -23,20 +20,32 @@ def first_in_group(value: str, *order: str) -> Column:
     return F.min_by(value, F.struct(*order))
 
 
+def listed_long(
+    df: DataFrame, keys: list[str], value: str, order: list[str], limits: Limits = Limits()
+) -> DataFrame:
+    """The values of each group in ``order`` (ending with a unique column), one per row: keys, ``position``, value.
+
+    The form for groups of any size; positions count from 1.
+    """
+    rows = numbered(df.select(*dict.fromkeys([*keys, value, *order])), keys, order, limits, name="position")
+    return rows.select(*keys, "position", value)
+
+
 def listed(
     df: DataFrame,
     keys: list[str],
     value: str,
     order: list[str],
     name: str = "values",
-    list_rows: int = LIST_ROWS,
+    *,
+    list_rows: int,
     limits: Limits = Limits(),
 ) -> DataFrame:
     """The values of each group as arrays, in ``order`` (ending with a unique column).
 
     A group is one row (``part`` 0) as long as it has at most ``list_rows``
     values; a larger one goes on in parts 1, 2, ... so that no row, and no task,
-    has to hold an unbounded list.
+    has to hold an unbounded list. ``listed_long`` has the same values without parts.
     """
     part = F.floor((F.col("_n") - 1) / list_rows).cast("long")
     rows = numbered(df.select(*keys, value, *order), keys, order, limits, name="_n").select(

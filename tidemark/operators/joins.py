@@ -5,8 +5,10 @@ known to allow it; otherwise both sides are shuffled and adaptive execution
 splits the partitions that hold a hot key.
 
 Spark can neither broadcast the lookup side of a right or full join nor split a
-hot fact key in one. Both are therefore put together from parts that it can:
-the inner or left join, and the lookup rows without a fact.
+hot fact key in one. With a small lookup side, or a counted hot key, both are
+therefore put together from parts that it can: the inner or left join, and the
+lookup rows without a fact. Otherwise Spark's own join is used: small facts are
+broadcast in a right join, and other sides are shuffled.
 """
 
 from __future__ import annotations
@@ -14,7 +16,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.plans.sizing import broadcast_if_small
+from tidemark.operators.blocks import GROUP_ROWS
+from tidemark.plans.sizing import broadcast_if_small, fits_one_task, may_broadcast
 
 
 def inner_join(facts: DataFrame, lookup: DataFrame, on: str | list[str]) -> DataFrame:
@@ -46,9 +49,19 @@ def _unused(facts: DataFrame, lookup: DataFrame, on: list[str]) -> DataFrame:
     return lookup.join(known.distinct(), on, "left_anti")
 
 
+def _has_hot_key(facts: DataFrame, keys: list[str]) -> bool:
+    """Whether a key has more rows than a task should join. Counts, combined before the shuffle."""
+    per_key = facts.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))
+    return (per_key.agg(F.max("_n")).first()[0] or 0) > GROUP_ROWS
+
+
 def right_join(facts: DataFrame, lookup: DataFrame, on: str | list[str]) -> DataFrame:
     """All lookup rows; fact columns are NULL where no fact matches."""
     keys = [on] if isinstance(on, str) else on
+    if may_broadcast(facts):
+        return F.broadcast(facts).join(lookup, keys, "right")
+    if not may_broadcast(lookup) and not _has_hot_key(facts, keys):
+        return facts.join(lookup, keys, "right")
     matched = inner_join(facts, lookup, keys)
     return matched.unionByName(_unused(facts, lookup, keys), allowMissingColumns=True)
 
@@ -56,6 +69,8 @@ def right_join(facts: DataFrame, lookup: DataFrame, on: str | list[str]) -> Data
 def full_join(facts: DataFrame, lookup: DataFrame, on: str | list[str]) -> DataFrame:
     """All rows of both sides."""
     keys = [on] if isinstance(on, str) else on
+    if fits_one_task(facts) or (not may_broadcast(lookup) and not _has_hot_key(facts, keys)):
+        return facts.join(lookup, keys, "full")
     matched = left_join(facts, lookup, keys)
     return matched.unionByName(_unused(facts, lookup, keys), allowMissingColumns=True)
 

@@ -21,7 +21,7 @@ from tidemark.functions.casts import (
     normal_text,
     timestamp_or_null,
 )
-from tidemark.functions.money import money_sum, money_sum_or_zero, percent, ratio, round2
+from tidemark.functions.money import money_sum, money_sum_or_zero, percent, ratio, representable, round2
 from tidemark.operators.aggregates import count_where, first_in_group
 from tidemark.sources.clicks import PURCHASE
 from tidemark.sources.readers import read_required, with_json_object
@@ -80,7 +80,8 @@ def status_counts(bronze_table: DataFrame) -> DataFrame:
 def cleaned(bronze_table: DataFrame, processed_at: str) -> DataFrame:
     """Parsed records with typed, normalised fields and the validity flag.
 
-    A record is valid when user, time and type are all known.
+    A record is valid when user, time and type are all known and its amount, if
+    any, is one that sums can hold.
     """
     parsed = bronze_table.filter(F.col("_bronze_status") == VALID)
     return (
@@ -106,6 +107,7 @@ def cleaned(bronze_table: DataFrame, processed_at: str) -> DataFrame:
                     F.col("user_id_clean").isNotNull()
                     & F.col("event_timestamp").isNotNull()
                     & F.col("event_type").isNotNull()
+                    & representable("total_amount")
                 ),
             }
         )

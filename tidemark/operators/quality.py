@@ -6,9 +6,13 @@ from collections.abc import Callable
 from dataclasses import dataclass, field
 from functools import reduce
 
-from pyspark.errors import AnalysisException
+from py4j.protocol import Py4JJavaError
+from pyspark.errors import AnalysisException, PySparkException
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import DoubleType, StructField, StructType
+
+from tidemark.sources.readers import local_table
 
 # The share of NULLs, in percent, at which a column needs review.
 NULL_LIMIT_PCT = 1.0
@@ -83,24 +87,41 @@ class Metric:
 
 
 def metric_set(df: DataFrame, metrics: dict[str, Metric]) -> DataFrame:
-    """All metrics in one row, as doubles, from one scan.
+    """All metrics in one row, as doubles, from one scan. Runs when it is called.
 
-    A metric without a value is 0. A metric that cannot be resolved against the
-    table, for instance because its column is missing, is NULL; the others are
-    computed. Filters become conditions inside the aggregate, so metrics with
-    different filters share the scan.
+    A metric without a value is 0. A metric that fails is NULL and the others are
+    computed, whether it cannot be resolved against the table (its column is
+    missing) or fails on some row (a cast of dirty text). Filters become conditions
+    inside the aggregate, so metrics with different filters share the scan; only if
+    that scan fails are they computed one by one.
     """
-    def resolves(metric: Metric) -> bool:
-        if metric.column != "*" and metric.column.split(".")[0] not in df.columns:
-            return False
-        try:
-            df.agg(metric.expression().cast("double"))
-            return True
-        except AnalysisException:
-            return False
-
-    columns = []
-    for name, metric in metrics.items():
-        value = F.coalesce(metric.expression().cast("double"), F.lit(0.0)) if resolves(metric) else F.lit(None).cast("double")
-        columns.append(value.alias(name))
-    return df.agg(*columns)
+    values = {
+        name: F.coalesce(metric.expression().cast("double"), F.lit(0.0)).alias(name)
+        for name, metric in metrics.items()
+        if _resolves(df, metric)
+    }
+    found = _computed(df, list(values.values()))
+    if found is None:
+        found = {}
+        for value in values.values():
+            found |= _computed(df, [value]) or {}
+    schema = StructType([StructField(name, DoubleType()) for name in metrics])
+    return local_table(df.sparkSession, [tuple(found.get(name) for name in metrics)], schema)
+
+
+def _resolves(df: DataFrame, metric: Metric) -> bool:
+    try:
+        df.agg(metric.expression().cast("double"))
+        return True
+    except AnalysisException:
+        return False
+
+
+def _computed(df: DataFrame, values: list[Column]) -> dict | None:
+    """The values of one aggregate, None if it fails while it runs."""
+    if not values:
+        return {}
+    try:
+        return df.agg(*values).first().asDict()
+    except (PySparkException, Py4JJavaError):
+        return None

@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tidemark.functions.money import cents, money_sum, percent_change, round2
+from tidemark.functions.money import amount, money_sum, percent_change, round2
 from tidemark.operators.blocks import (
     ROW_IN_BLOCK,
     Limits,
@@ -21,7 +21,11 @@ from tidemark.operators.blocks import (
     split_by_group_size,
     summarise,
 )
+from tidemark.plans.sizing import fits_one_task
+from tidemark.sources.scratch import frozen
 
+# Spark's default of windowGroupLimitThreshold: up to here it limits groups before the shuffle.
+EARLY_LIMIT = 1_000
 BEFORE = (Window.unboundedPreceding, -1)
 
 
@@ -146,12 +150,16 @@ def numbered(
     return plain.unionByName(blocked)
 
 
-def top_per_group(df: DataFrame, keys: list[str], value: str, tie: str, k: int, descending: bool = True) -> DataFrame:
+def top_per_group(df: DataFrame, keys: list[str], value: str, tie: str, k: int, descending: bool = True, limits: Limits = Limits()) -> DataFrame:
     """The first ``k`` rows of each group, with their ``row_num``.
 
-    Every map task keeps ``k`` rows per group before the shuffle, so a group of
-    any size arrives small.
+    Up to Spark's own limit for this (1,000 rows) every map task keeps ``k`` rows
+    per group before the shuffle, so a group of any size arrives small. Beyond it
+    the rows are numbered with large groups cut into blocks.
     """
+    if k > EARLY_LIMIT:
+        rows = ranked(df, keys, value, tie, descending, limits=limits).filter(F.col("row_num") <= k)
+        return rows.select(*df.columns, "row_num")
     w = Window.partitionBy(*keys).orderBy(_direction(value, descending), F.asc(tie))
     first = df.withColumn("row_num", F.row_number().over(w)).filter(F.col("row_num") <= k)
     return first.withColumn("row_num", F.col("row_num").cast("long"))
@@ -325,7 +333,21 @@ def carried_forward(
 # --- windows over a daily table -------------------------------------------------
 #
 # These have one group, the whole table. They are meant for a table with one row
-# per day, which stays small whatever it was aggregated from.
+# per day, which stays small whatever it was aggregated from; another is refused.
+
+
+class NotDaily(ValueError):
+    """The table is too large to be one with a row per day."""
+
+
+def _one_group(daily: DataFrame) -> DataFrame:
+    """The table itself if its size is known to fit a task, else a stored copy whose size is known."""
+    if fits_one_task(daily):
+        return daily
+    stored = frozen(daily, "daily")
+    if not fits_one_task(stored):
+        raise NotDaily("A window over the whole table needs one row per day: aggregate by day first.")
+    return stored
 
 
 def daily_sales(sales: DataFrame, day: str, amount: str) -> DataFrame:
@@ -337,18 +359,18 @@ def daily_sales(sales: DataFrame, day: str, amount: str) -> DataFrame:
 
 def running_total(daily: DataFrame, day: str, value: str, name: str) -> DataFrame:
     w = Window.orderBy(day)
-    return daily.withColumn(name, F.sum(cents(value)).over(w).cast("double"))
+    return _one_group(daily).withColumn(name, F.try_sum(amount(value)).over(w).cast("double"))
 
 
 def moving_average(daily: DataFrame, day: str, value: str, name: str, rows: int = 7) -> DataFrame:
     """Average of this row and the ``rows - 1`` before it: rows, not calendar days."""
     w = Window.orderBy(day).rowsBetween(1 - rows, 0)
-    amount = cents(value)
-    mean = F.try_divide(F.sum(amount).over(w).cast("double"), F.count(amount).over(w))
-    return daily.withColumn(name, round2(mean))
+    exact = amount(value)
+    mean = F.try_divide(F.try_sum(exact).over(w).cast("double"), F.count(exact).over(w))
+    return _one_group(daily).withColumn(name, round2(mean))
 
 
 def change_from_previous(daily: DataFrame, day: str, value: str, name: str) -> DataFrame:
     """Percent change against the row before; NULL in the first row."""
     w = Window.orderBy(day)
-    return daily.withColumn(name, percent_change(F.col(value), F.lag(value, 1).over(w)))
+    return _one_group(daily).withColumn(name, percent_change(F.col(value), F.lag(value, 1).over(w)))

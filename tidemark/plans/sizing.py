@@ -9,6 +9,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import BooleanType, DatetimeType, NumericType
 
 UNKNOWN = 1 << 62
 MB = 1 << 20
@@ -19,6 +20,7 @@ ONE_TASK_BYTES = 64 * MB
 BROADCAST_BYTES = 16 * MB
 # The same limit for tables whose row count, not size, is known.
 BROADCAST_ROWS = 500_000
+FIXED_WIDTH = (NumericType, BooleanType, DatetimeType)
 
 
 def estimated_bytes(df: DataFrame) -> int:
@@ -59,5 +61,15 @@ def broadcast_if_small(df: DataFrame, limit: int = BROADCAST_BYTES) -> DataFrame
 
 
 def broadcast_if_few(df: DataFrame, rows: int, limit: int = BROADCAST_ROWS) -> DataFrame:
-    """The same for a frame whose row count the caller has counted or can bound."""
-    return F.broadcast(df) if rows <= limit else df
+    """The same for a frame whose row count the caller has counted or can bound.
+
+    Rows of fixed width are bounded by their number. Texts and other values of any
+    length are measured first, by one pass over the few rows.
+    """
+    if rows > limit:
+        return df
+    if any(not isinstance(f.dataType, FIXED_WIDTH) for f in df.schema.fields):
+        size = df.agg(F.sum(F.length(F.to_json(F.struct(*df.columns))))).first()[0] or 0
+        if size > BROADCAST_BYTES:
+            return df
+    return F.broadcast(df)

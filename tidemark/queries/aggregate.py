@@ -118,7 +118,7 @@ def agg_09_first(spark, sf):
 )
 def agg_10_collect(spark, sf):
     events = read_table(spark, sf, "events")
-    lists = listed(events, ["user_id"], "event_type", ["ts", "event_id"], name="events_list")
+    lists = listed(events, ["user_id"], "event_type", ["ts", "event_id"], name="events_list", list_rows=10_000)
     return lists.select(
         "user_id",
         "part",
@@ -158,12 +158,14 @@ def agg_13_derived(spark, sf):
 
 
 @query(
-    f"""SELECT l_shipdate, {rounded('cast(sum(cast(' + rounded('l_extendedprice * (1 - l_discount)') + ' AS decimal(18,2))) AS double)')} AS revenue
+    """SELECT l_shipdate, cast(round(sum(cast(l_extendedprice AS decimal(18,6)) * (1 - cast(l_discount AS decimal(10,6)))), 2) AS double) AS revenue
   FROM lineitem GROUP BY l_shipdate"""
 )
 def agg_14_rounded(spark, sf):
-    net = round2(F.col("l_extendedprice") * (1 - F.col("l_discount")))
-    return read_table(spark, sf, "lineitem").groupBy("l_shipdate").agg(round2(money_sum(net)).alias("revenue"))
+    """The sum is exact and rounded once; the lines are not rounded."""
+    net = F.col("l_extendedprice").cast("decimal(18,4)") * (1 - F.col("l_discount").cast("decimal(8,4)"))
+    revenue = F.round(F.try_sum(net.cast("decimal(38,8)")), 2).cast("double")
+    return read_table(spark, sf, "lineitem").groupBy("l_shipdate").agg(revenue.alias("revenue"))
 
 
 @query(

@@ -40,14 +40,10 @@ def jn_03_right(spark, sf):
     return joins.right_join(_labels(spark, sf), _documents(spark, sf), "doc_id")
 
 
-@query(
-    "SELECT doc_id, quality, lang FROM (SELECT doc_id, quality FROM labels WHERE quality = 1) "
-    "FULL JOIN (SELECT doc_id, lang FROM documents WHERE lang = 'en') USING (doc_id)"
-)
+@query("SELECT doc_id, quality, toxic, label FROM labels FULL JOIN (SELECT vec_id AS doc_id, label FROM embeddings) USING (doc_id)")
 def jn_04_full(spark, sf):
-    good = _labels(spark, sf).filter(F.col("quality") == 1).select("doc_id", "quality")
-    english = _documents(spark, sf).filter(F.col("lang") == "en").select("doc_id", "lang")
-    return joins.full_join(good, english, "doc_id")
+    vectors = read_table(spark, sf, "embeddings").select(F.col("vec_id").alias("doc_id"), "label")
+    return joins.full_join(_labels(spark, sf), vectors, "doc_id")
 
 
 @query("SELECT doc_id, lang, source FROM documents WHERE doc_id IN (SELECT doc_id FROM labels)")

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from tidemark.functions.money import cents, money_sum
+from tidemark.functions.money import amount, money_sum
 from tidemark.operators import history, quality
 from tidemark.operators.relational import duplicate_count, stacked
 from tidemark.queries.registry import CLICKS, money, query, rounded
@@ -123,7 +123,7 @@ def prd_08_metric_set(spark, sf):
     bought = F.col("event_type") == PURCHASE
     metric = quality.Metric
     return quality.metric_set(
-        clicks(spark, sf).withColumn("amount", cents("total_amount")),
+        clicks(spark, sf).withColumn("amount", amount("total_amount")),
         {
             "total_events": metric(F.count),
             "unique_users": metric(F.count_distinct, "user_id"),

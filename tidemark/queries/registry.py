@@ -35,8 +35,8 @@ def rounded(expr: str, places: int = 2) -> str:
 
 
 def money(expr: str) -> str:
-    """Exact sum of cent amounts as double."""
-    return f"cast(sum(cast({expr} as decimal(18,2))) as double)"
+    """Exact sum as double, of more places than the queries keep."""
+    return f"cast(sum(cast({expr} as decimal(38,9))) as double)"
 
 
 def pick(names: list[str], index: str) -> str:

@@ -13,6 +13,7 @@ from tidemark.streaming.windows import flat_window, windowed_count
 
 EVENTS = "event_id long, ts timestamp_ntz, user_id long, event_type string, value double, props string"
 LATE = "10 seconds"
+BATCHES = 4
 
 
 def _counts(width: str, only_closed: bool = False) -> str:
@@ -27,13 +28,29 @@ def _stream(spark, sf):
     return with_event_time(table_stream(spark, sf, "events", EVENTS).select("ts"), "ts")
 
 
+def _batches(spark, sf):
+    """The events in order of time, landed as four files and read in as many micro-batches."""
+    landing = fresh_dir(spark, "landing")
+    events = read_table(spark, sf, "events").select("ts")
+    first, last = events.agg(F.min("ts"), F.max("ts")).first()
+    if first is None:
+        events.write.parquet(landing)
+    for i in range(BATCHES if first is not None else 0):
+        low, high = (first + (last - first) * k / BATCHES for k in (i, i + 1))
+        later = F.col("ts") >= F.lit(low).cast("timestamp_ntz")
+        part = events.filter(later & ((F.col("ts") < F.lit(high).cast("timestamp_ntz")) if i < BATCHES - 1 else F.lit(True)))
+        part.coalesce(1).write.mode("append").parquet(landing)
+    return with_event_time(file_stream(spark, landing, "ts timestamp_ntz", files_per_batch=1), "ts")
+
+
 def _counted(spark, sf, width):
     return flat_window(windowed_count(_stream(spark, sf), width=width, late=LATE))
 
 
 @query(_counts("1 hour"))
 def src_11_sql_over_stream(spark, sf):
-    name = sinks.to_memory(windowed_count(_stream(spark, sf), width="1 hour", late=LATE), sinks.unique_name("windows"))
+    counts = windowed_count(_batches(spark, sf), width="1 hour", late=LATE)
+    name = sinks.to_memory(counts, sinks.unique_name("windows"), mode="complete")
     return flat_window(spark.sql(f"SELECT * FROM {name} ORDER BY window"))
 
 
@@ -45,7 +62,10 @@ def src_14_file_stream(spark, sf):
 
 @query(_counts("1 hour"))
 def snk_09_memory(spark, sf):
-    return spark.table(sinks.to_memory(_counted(spark, sf, "1 hour"), sinks.unique_name("windows")))
+    """Update mode adds a row each time a batch changes a window; counts only grow, so the largest is the latest."""
+    counts = flat_window(windowed_count(_batches(spark, sf), width="1 hour", late=LATE))
+    updates = spark.table(sinks.to_memory(counts, sinks.unique_name("windows"), mode="update"))
+    return updates.groupBy("window_start", "window_end").agg(F.max("event_count").alias("event_count"))
 
 
 @query(_counts("1 hour", only_closed=True))
@@ -71,12 +91,13 @@ def str_03_update_mode(spark, sf):
 @query("SELECT event_type, count(*) AS n FROM events GROUP BY event_type")
 def str_04_life_cycle(spark, sf):
     counts = table_stream(spark, sf, "events", EVENTS).groupBy("event_type").agg(F.count(F.lit(1)).alias("n"))
-    return spark.table(sinks.to_memory(counts, sinks.unique_name("types"), mode="complete", timeout=3600))
+    return spark.table(sinks.to_memory(counts, sinks.unique_name("types"), mode="complete"))
 
 
 @query(f"SELECT count(*) AS windows_captured, cast(sum(event_count) AS bigint) AS events FROM ({_counts('1 hour')})")
 def str_05_read_result(spark, sf):
-    table = spark.table(sinks.to_memory(_counted(spark, sf, "1 hour"), sinks.unique_name("windows")))
+    counts = flat_window(windowed_count(_batches(spark, sf), width="1 hour", late=LATE))
+    table = spark.table(sinks.to_memory(counts, sinks.unique_name("windows"), mode="complete"))
     return table.agg(F.count(F.lit(1)).alias("windows_captured"), F.sum("event_count").alias("events"))
 
 

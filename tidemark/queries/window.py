@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from tidemark.functions.casts import epoch_seconds
-from tidemark.functions.money import cents, round2
+from tidemark.functions.money import amount, round2
 from tidemark.operators import windows as win
 from tidemark.queries.registry import CLICKS, money, query, rounded
 from tidemark.sources.clicks import PURCHASE, clicks, paid_purchases
@@ -102,14 +102,14 @@ def _daily(spark, sf):
 
 @query(
     f"{DAILY} SELECT event_date, daily_revenue, num_orders, "
-    "cast(sum(cast(daily_revenue AS decimal(18,2))) OVER (ORDER BY event_date) AS double) AS cumulative_revenue FROM daily"
+    "cast(sum(cast(daily_revenue AS decimal(38,9))) OVER (ORDER BY event_date) AS double) AS cumulative_revenue FROM daily"
 )
 def win_10_running_total(spark, sf):
     return win.running_total(_daily(spark, sf), "event_date", "daily_revenue", "cumulative_revenue")
 
 
 _SEVEN = "OVER (ORDER BY event_date ROWS BETWEEN 6 PRECEDING AND CURRENT ROW)"
-_MEAN = f"cast(sum(cast(daily_revenue AS decimal(18,2))) {_SEVEN} AS double) / count(*) {_SEVEN}"
+_MEAN = f"cast(sum(cast(daily_revenue AS decimal(38,9))) {_SEVEN} AS double) / count(*) {_SEVEN}"
 
 
 @query(f"{DAILY} SELECT event_date, daily_revenue, num_orders, {rounded(_MEAN)} AS rolling_7day_avg_revenue FROM daily")
@@ -130,7 +130,7 @@ def win_12_day_over_day(spark, sf):
 
 def _lifetime(spark, sf):
     paid = paid_purchases(clicks(spark, sf)).select(
-        "user_id", "event_id", "event_timestamp", cents("total_amount").alias("amount")
+        "user_id", "event_id", "event_timestamp", amount("total_amount").alias("amount")
     )
     return win.running(
         paid, ["user_id"], "event_timestamp", "event_id", "amount",
@@ -139,7 +139,7 @@ def _lifetime(spark, sf):
 
 
 _LTV = "OVER (PARTITION BY user_id ORDER BY event_timestamp)"
-_LTV_SUM = f"cast(sum(cast(total_amount AS decimal(18,2))) {_LTV} AS double)"
+_LTV_SUM = f"cast(sum(cast(total_amount AS decimal(38,9))) {_LTV} AS double)"
 
 
 @query(f"{PAID} SELECT user_id, event_id, event_timestamp, {_LTV_SUM} AS lifetime_value FROM paid")

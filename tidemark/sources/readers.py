@@ -61,13 +61,13 @@ def with_json_object(lines: DataFrame, column: str, fields: list[str], name: str
 
     NULL unless the text is exactly one object. Spark's own parser stops at the
     end of the first value; in a list, followed by a mark, text after the object
-    is an error too. It also lets single quotes pass unless told not to.
+    is an error too. The mark is a hash of the line, which no line can contain. It also lets single quotes pass unless told not to.
     """
-    listed = F.concat(F.lit("["), column, F.lit(', {"_mark": "end"}]'))
+    listed = F.concat(F.lit("["), column, F.lit(', {"_mark": "'), F.md5(F.col(column).cast("binary")), F.lit('"}]'))
     members = ", ".join(f"{f}: string" for f in [*fields, "_mark"])
     found = F.from_json(listed, f"array<struct<{members}>>", {"allowSingleQuotes": "false"})
     parsed = spread_if_small(lines).select("*", evaluated_once(found).alias("_found"))
-    alone = (F.size("_found") == 2) & (F.col("_found")[1]["_mark"] == "end")
+    alone = (F.size("_found") == 2) & (F.col("_found")[1]["_mark"] == F.md5(F.col(column).cast("binary")))
     return parsed.withColumn(name, F.when(alone, F.col("_found")[0])).drop("_found")
 
 

@@ -13,9 +13,6 @@ from pyspark.sql.types import LongType, StructField, StructType
 
 from tidemark.sources.scratch import fresh_dir
 
-# Seconds a replay may take before it is stopped.
-TIMEOUT = 24 * 3600
-
 BATCH = "_batch"
 
 
@@ -23,11 +20,13 @@ class StreamTimeout(TimeoutError):
     """The stream did not reach the end of its input in time."""
 
 
-def run_to_end(writer: DataStreamWriter, timeout: int = TIMEOUT) -> StreamingQuery:
-    """Process all input there is at the start, then stop."""
+def run_to_end(writer: DataStreamWriter, timeout: int | None = None) -> StreamingQuery:
+    """Process all input there is at the start, then stop; with ``timeout`` (seconds), give up after it."""
     query = writer.trigger(availableNow=True).start()
     try:
-        if not query.awaitTermination(timeout):
+        if timeout is None:
+            query.awaitTermination()
+        elif not query.awaitTermination(timeout):
             raise StreamTimeout(f"stream {query.id} still running after {timeout} s")
     finally:
         query.stop()
@@ -52,18 +51,19 @@ def _read(spark: SparkSession, path: str, schema: StructType) -> DataFrame:
         return spark.createDataFrame([], schema)
 
 
-def to_memory(stream: DataFrame, name: str, mode: str = "update", timeout: int = TIMEOUT) -> str:
+def to_memory(stream: DataFrame, name: str, mode: str = "update", timeout: int | None = None) -> str:
     """Run into a table held by the driver and return its name.
 
     For results of known small size, such as counts per window. In update mode
-    the table has a row for each change of a window.
+    the table has a row for each change of a window, one per batch that touched it;
+    ``mode="complete"`` keeps one row per window.
     """
     folder = fresh_dir(stream.sparkSession, "stream")
     run_to_end(_writer(stream, mode, folder).format("memory").queryName(name), timeout)
     return name
 
 
-def to_parquet(stream: DataFrame, folder: str, timeout: int = TIMEOUT) -> DataFrame:
+def to_parquet(stream: DataFrame, folder: str, timeout: int | None = None) -> DataFrame:
     """Run in append mode into Parquet files, each row written once, and read them.
 
     A run that was interrupted goes on from its checkpoint when it is started with
@@ -73,7 +73,7 @@ def to_parquet(stream: DataFrame, folder: str, timeout: int = TIMEOUT) -> DataFr
     return _read(stream.sparkSession, f"{folder}/table", stream.schema)
 
 
-def to_latest(stream: DataFrame, folder: str, keys: list[str], timeout: int = TIMEOUT) -> DataFrame:
+def to_latest(stream: DataFrame, folder: str, keys: list[str], timeout: int | None = None) -> DataFrame:
     """Run in update mode and read the latest row of each key.
 
     A batch is written to its own folder, which a repeated batch replaces, so a
