@@ -119,7 +119,7 @@ def med_08_user_metrics(spark, sf):
 
 @query(f"{RECORDS}, {_USERS} SELECT {_SEGMENT} AS user_segment, count(*) AS users FROM users GROUP BY 1")
 def med_09_segments(spark, sf):
-    return layers.user_metrics(frozen(_silver(spark, sf), "silver")).groupBy("user_segment").agg(F.count(F.lit(1)).alias("users"))
+    return layers.segment_counts(_silver(spark, sf))
 
 
 @query(
