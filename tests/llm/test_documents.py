@@ -167,3 +167,21 @@ def test_components(spark):
             parent[max(x, y)] = min(x, y)
         nodes = {x for p in pairs for x in p}
         assert sorted(rows_of(components(frame), "node", "label")) == sorted((i, find(i)) for i in nodes)
+
+
+def test_a_shared_passage_and_a_wide_group_make_no_quadratic_work(spark):
+    """Groups as they occur: many documents with one passage, and copies with any number of changes."""
+    rng = random.Random(21)
+    word = lambda: f"w{rng.randrange(20_000)}"
+    passage = [word() for _ in range(40)]
+    texts = [" ".join([word() for _ in range(60)] + passage + [word() for _ in range(40)]) for _ in range(120)]
+    base = [word() for _ in range(150)]
+    for _ in range(120):
+        text = list(base)
+        for _ in range(rng.randrange(26)):
+            text[rng.randrange(150)] = word()
+        texts.append(" ".join(text))
+    rows = list(enumerate(texts))
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
+    got = rows_of(neardup.near_duplicates(docs), "doc_id", "n_shingles", "component_id")
+    assert sorted(got) == sorted(brute.near_duplicates(rows))

@@ -46,7 +46,7 @@ def test_exchange_finds_classes():
 
 
 def test_numbers_forget_and_keep():
-    numbers = brown.Numbers([b"the", b"of"], keep=3)
+    numbers = brown.Numbers(2, [b"the", b"of", b"and"], keep=3)
     words = [b"the", b"a1", b"\xc3\xa9t\xc3\xa9", b"of", b"zzz", b"!!", b"the", b"\xff"] * 3
     first = numbers.of(words).tolist()
     assert first[:1] == [1] and first[3] == 2 and first[-1] == brown.END
@@ -236,7 +236,7 @@ def test_every_passage_has_a_selected_place():
 @pytest.mark.parametrize("few", [True, False])
 def test_repeated_passages_against_plain(spark, monkeypatch, few):
     if not few:
-        monkeypatch.setattr(suffixes, "BROADCAST_PLACES", -1)
+        monkeypatch.setattr(suffixes, "BROADCAST_ROWS", -1)
     rng = random.Random(12)
     word = lambda: f"w{rng.randrange(5000)}"
     passages = [[word() for _ in range(n)] for n in (49, 50, 51, 60, 120, 400)]

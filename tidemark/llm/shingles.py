@@ -103,8 +103,7 @@ def set_digest(elements: np.ndarray) -> bytes:
     return hashlib.blake2b(elements.tobytes(), digest_size=16).digest()
 
 
-def common(a: bytes, b: bytes) -> int:
-    """Size of the intersection of two packed sets."""
-    left, right = np.frombuffer(a, np.uint64), np.frombuffer(b, np.uint64)
-    both = np.sort(np.concatenate([left, right]))
+def common(a: np.ndarray, b: np.ndarray) -> int:
+    """Size of the intersection of two sets."""
+    both = np.sort(np.concatenate([a, b]))
     return int((both[1:] == both[:-1]).sum())
