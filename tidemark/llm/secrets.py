@@ -25,14 +25,13 @@ from pyspark.sql import functions as F
 from tidemark.llm.common import either_case, let
 from tidemark.llm.spans import in_order, masked, matches
 
-NAMES = "|".join(["password", "passwd", "secret", "token"])
+NAMES = [*map(either_case, ("password", "passwd", "secret", "token")), either_case("api") + "_?" + either_case("key")]
 ASSIGN = (
-    "(" + "|".join(either_case(n) for n in NAMES.split("|")) + f"|{either_case('api')}_?{either_case('key')})"
+    "(" + "|".join(NAMES) + ")"
     + r"""["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)"""
 )
 ACCESS = "AKIA[A-Z0-9]+"
-HEX = "[0-9a-f]+"
-# A search for long runs alone; it starts only where a run starts.
+# Runs of 24 or more alone, as others would be dropped; a search starts only where a run starts.
 LONG_HEX = r"(?<![0-9a-f])[0-9a-f]{24,}+"
 CANDIDATE = r"(?<![A-Za-z0-9+/_-])[A-Za-z0-9+/_-]{20,}+"
 
