@@ -39,8 +39,8 @@ GRAM = 8
 SPAN = LEAST - GRAM + 1  # grams of which the least is kept
 REACH = 50  # words to each side that are compared
 POSITION = np.uint64((1 << 31) - 1)
-# Up to so many kept places (about 12 bytes each) go to every executor.
-BROADCAST_PLACES = 2_000_000
+# Up to so many 16-byte keys of texts go to every executor; beyond that both sides are shuffled.
+BROADCAST_ROWS = 500_000
 
 _PLACES = StructType(
     [
@@ -130,22 +130,30 @@ def shared_words(left: pa.Array, right: pa.Array) -> pa.Array:
     return pa.array(counts, pa.int32())
 
 
-def _matches(rows: DataFrame, order: list[str]) -> DataFrame:
-    """(text_key, start, end, other) of suffixes that match a neighbour in an order on 50 words or more."""
+def _compared(rows: DataFrame, order: str, name: str) -> DataFrame:
+    """Adds an array of (l, r, other): words in common with both neighbours in an order, to the left and right."""
     look = ["right", "left", "least"]
     met = neighbours(
-        rows, ["gram"], [*order, "text_key", "at"], before={f"b_{c}": c for c in look}, after={f"a_{c}": c for c in look}
+        rows, ["gram"], [order, "text_key", "at"], before={f"b_{c}": c for c in look}, after={f"a_{c}": c for c in look}
     )
-    sides = []
-    for side in ("b", "a"):
-        sides.append(
-            F.struct(
-                shared_words(F.col("left"), F.col(f"{side}_left")).alias("l"),
-                shared_words(F.col("right"), F.col(f"{side}_right")).alias("r"),
-                F.col(f"{side}_least").alias("other"),
-            )
+    sides = [
+        F.struct(
+            shared_words(F.col("left"), F.col(f"{side}_left")).alias("l"),
+            shared_words(F.col("right"), F.col(f"{side}_right")).alias("r"),
+            F.col(f"{side}_least").alias("other"),
         )
-    one = met.select("text_key", "at", F.explode(F.array(*sides)).alias("m"))
+        for side in "ba"
+    ]
+    return met.select(*rows.columns, F.array(*sides).alias(name))
+
+
+def _matches(rows: DataFrame) -> DataFrame:
+    """(text_key, start, end, other) of suffixes that match a neighbour in either order on 50 words or more.
+
+    The second order gets the results of the first, not its words, so what is moved again is small.
+    """
+    both = _compared(_compared(rows, "right", "by_right"), "left", "by_left")
+    one = both.select("text_key", "at", F.explode(F.concat("by_right", "by_left")).alias("m"))
     return one.filter(F.col("m.l") + F.col("m.r") >= LEAST).select(
         "text_key", (F.col("at") - F.col("m.l")).alias("start"), (F.col("at") + F.col("m.r")).alias("end"), F.col("m.other").alias("other")
     )
@@ -189,14 +197,14 @@ def repeated_passages(docs: DataFrame, key: str = "doc_id", text: str = "text")
     kept = once.join(shared, "gram").groupBy("text_key").agg(F.collect_list(F.struct("gram", "at")).alias("wanted"))
     kept = frozen(kept.join(texts.select("text_key", "least"), "text_key"), "suffix-kept")
 
-    few = (kept.agg(F.sum(F.size("wanted"))).first()[0] or 0) <= BROADCAST_PLACES
+    few = kept.count() <= BROADCAST_ROWS
     worded = source.select(text_key(F.col("text")).alias("text_key"), "text")
     met = worded.join(F.broadcast(kept.select("text_key")) if few else kept.select("text_key"), "text_key")
     met = met.groupBy("text_key").agg(F.first("text").alias("text")).join(kept, "text_key")
     rows = met.select("text_key", "least", F.explode(contexts(F.col("text"), F.col("wanted"))).alias("c"))
     rows = frozen(rows.select("text_key", "least", "c.*"), "suffix-rows")
 
-    spans = _matches(rows, ["right"]).unionAll(_matches(rows, ["left"]))
+    spans = _matches(rows)
     whole = texts.filter(f"copies > 1 AND n_words >= {LEAST}")
     spans = spans.unionAll(
         whole.select("text_key", F.lit(0).alias("start"), F.col("n_words").cast("int").alias("end"), F.col("least").alias("other"))
