@@ -74,6 +74,32 @@ def test_rare_words_are_joined(spark, folder, monkeypatch):
         assert math.isclose(r.base_score, w.base_score, rel_tol=1e-9) and math.isclose(r.score, w.score, rel_tol=1e-9)
 
 
+def test_most_frequent_words_of_equal_count(spark):
+    """The cut is exact also inside one magnitude and inside one count."""
+    counts = spark.range(20_000).selectExpr("concat('w', id) AS word", "7L AS n").cache()
+    assert len(brown.most_frequent(counts, 8_192)) == 8_192 and len(brown.most_frequent(counts, 20_000)) == 20_000
+    more = counts.unionAll(spark.range(3_000).selectExpr("concat('v', id) AS word", "1000 + id % 30 AS n"))
+    most = brown.most_frequent(more, 2_000)
+    want = sorted((1000 + i % 30 for i in range(3_000)), reverse=True)[:2_000]
+    assert [r.n for r in most] == want
+    fewer = {r.word for r in brown.most_frequent(more, 1_234)}
+    assert len(fewer) == 1_234 and fewer <= {r.word for r in most}
+    assert brown.most_frequent(counts, 0) == [] and brown.most_frequent(counts.limit(0), 5) == []
+
+
+def test_flat_words_and_the_end_are_held(spark, monkeypatch):
+    """A lexicon of words of equal count, and an end token that more words than are held reach."""
+    text = " ".join(f"w{i}" for i in range(20_000))
+    docs = spark.createDataFrame([(1, text + " " + text)], "id int, text string")
+    model = brown.fit(docs, sweeps=0)
+    assert len(model.lexicon) == 8_192
+    monkeypatch.setattr(brown, "HELD_COUNTS", 5)
+    model = brown.fit(docs, lexicon=3, sweeps=0)
+    assert len(model.lexicon) == 3 and len(model.held) == 6 and model.held[b""] == 1
+    (row,) = brown.scored(docs, model, ["id"], docs["text"]).collect()
+    assert (row.n_tokens, row.n_known) == (40_001, 40_001)
+
+
 def test_op4_against_plain(spark):
     folder = "/root/testdata/sf0.01"
     rows = rows_of(spark.read.parquet(f"{folder}/documents.parquet"), "doc_id", "text")
