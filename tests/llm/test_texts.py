@@ -154,6 +154,18 @@ def test_personal_own_kinds(spark):
     ]
 
 
+def test_accounts_before_capitals_and_digits(spark):
+    """An account ends where mod-97 holds, whatever capitals or digits follow after a blank."""
+    plain, blanks, british = "DE89370400440532013000", "DE89 3704 0044 0532 0130 00", "GB82WEST12345698765432"
+    texts = [f"IBAN {a}{rest}" for a in (plain, blanks, british) for rest in (" Please pay", " BIC COBADEFFXXX", " 2024 10", " A", "", " X1 Y2 " * 9)]
+    want = [[a] for a in (plain, blanks, british) for _ in range(6)]
+    texts += [f"bank {blanks} {british} Thanks", f"account {plain}X", f"iban X{plain}", "IBAN DE00 3704 0044 0532 0130 00 Please", f"IBAN é{plain} Bitte"]
+    want += [[blanks, british], [], [], [], [plain]]
+    found = pii.personal_spans(frame(spark, texts)).orderBy("doc_id").collect()
+    assert [[s.found for s in r.spans if s.kind == "iban"] for r in found] == want
+    assert all(texts[r.doc_id][s.start : s.end] == s.found for r in found for s in r.spans)
+
+
 def test_personal_data_is_masked(spark):
     docs = frame(spark, ["mail a@b.cd now", "clean", None])
     assert [r.text for r in pii.without_personal_data(docs).orderBy("doc_id").collect()] == ["mail [PII] now", "clean", None]

@@ -32,7 +32,19 @@ IP = DIGITS_START + r"\.[0-9]++\.[0-9]++\.[0-9]++"
 CARD = r"(?<![0-9])(?<![0-9][\x20-])(?=(?:[0-9][\x20-]?){13}[0-9])[0-9]++(?:[\x20-][0-9]++)*+"
 PHONE = r"\+[0-9][\x20().0-9-]+[0-9]"
 # The method's own kinds.
-IBAN = r"(?<![A-Za-z0-9])[A-Z]{2}[0-9]{2}(?:\x20?[A-Z0-9]){11,30}+(?![A-Za-z0-9])"
+IBAN = r"(?<![A-Za-z0-9])[A-Z]{2}[0-9]{2}(?=(?:\x20?[A-Z0-9]){11})"  # where one may start
+IBAN_REST = range(30, 10, -1)  # characters that may follow, longest first
+# Registered lengths by country.
+IBAN_LENGTHS = {
+    c: int(part[:2])
+    for part in (
+        "15NO 16BE 18DKFIFKFOGLNLSD 19MKSI 20ATBAEEKZLTLUMNXK 21CHHRLILV 22BGBHCRDEGBGEIEMERSVA 23AEGIILIQOMSOTL "
+        "24ADCZESMDPKROSASESKTNVG 25LYPTST 26ISTR 27BIDJFRGRITMCMRSM 28ALAZBYCYDOGTHULBNIPLSV 29BREGPSQAUA 30JOKWMUYE "
+        "31MTSC 32LC 33RU"
+    ).split()
+    for c in (part[i : i + 2] for i in range(2, len(part), 2))
+}
+IBAN_WIDTH = 4 + 2 * 30 + 1  # code points that decide where one ends
 SSN = r"(?<![0-9-])[0-9]{3}-[0-9]{2}-[0-9]{4}(?![0-9-])"
 LOCAL_PHONE = r"(?<![0-9+.-])\(?[0-9]{3}\)?[\x20.-]?[0-9]{3}[\x20.-]?[0-9]{4}(?![0-9.-]?[0-9])"
 
@@ -73,6 +85,40 @@ def mod_97(account: Column) -> Column:
     return F.length(compact).between(15, 34) & (rest == 1)
 
 
+def accounts(text: Column) -> Column:
+    """Spans of account numbers, disjoint and in order: at each start a chain that passes mod-97.
+
+    A chain of capitals and digits may run on into what follows the account ("DE89 ... 00 BIC"), so
+    each of its ends where no letter or digit follows is tried. Of those that pass, the one of the
+    country's length is taken, or else the longest.
+    """
+
+    def longest(s: Column) -> Column:
+        rest = F.substring(text, (s["start"] + 1).cast("int"), F.lit(IBAN_WIDTH))
+        ends = let(
+            rest,
+            lambda r: F.array(
+                *(F.regexp_extract(r, rf"^[A-Z]{{2}}[0-9]{{2}}(?:\x20?[A-Z0-9]){{{n}}}(?![A-Za-z0-9])", 0) for n in IBAN_REST)
+            ),
+        )
+        valid = F.filter(ends, lambda e: (e != "") & mod_97(e))
+        length = F.try_element_at(F.create_map(*(F.lit(x) for pair in IBAN_LENGTHS.items() for x in pair)), F.substring(s["found"], 1, 2))
+        regular = lambda e: F.length(F.replace(e, F.lit(" "), F.lit(""))) == length
+        return F.transform(
+            let(valid, lambda v: F.slice(F.concat(F.filter(v, regular), v), 1, 1)),
+            lambda e: F.struct(s["kind"], s["start"], (s["start"] + F.length(e)).alias("end"), e.alias("found")),
+        )
+
+    def apart(acc: Column, s: Column) -> Column:
+        free = F.coalesce(F.try_element_at(acc, F.lit(-1))["end"] <= s["start"], F.lit(True))
+        return F.when(free, F.array_append(acc, s)).otherwise(acc).cast(NO_SPANS)
+
+    def found(starts: Column) -> Column:
+        return F.aggregate(F.flatten(F.transform(starts, longest)).cast(NO_SPANS), F.array().cast(NO_SPANS), apart)
+
+    return F.when(text.rlike(IBAN), let(matches(text, IBAN, "iban"), found)).otherwise(F.array().cast(NO_SPANS))
+
+
 def _low_parts(found: Column) -> Column:
     part = r"0*(?:25[0-5]|2[0-4][0-9]|1[0-9][0-9]|[0-9]{1,2})"
     return found.rlike(rf"^{part}(?:\.{part}){{3}}$")
@@ -114,9 +160,7 @@ def own_spans(text: Column) -> Column:
     """Spans of the method's kinds whose score reaches the limit."""
     found = []
     for kind, (pattern, *_) in OWN.items():
-        spans = matches(text, pattern, kind)
-        if kind == "iban":
-            spans = F.filter(spans, lambda s: mod_97(s["found"]))
+        spans = accounts(text) if kind == "iban" else matches(text, pattern, kind)
         found.append(F.filter(spans, _likely(text, kind)))
     return F.concat(*found)
 
