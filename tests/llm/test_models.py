@@ -277,6 +277,24 @@ def test_repeated_passages_against_plain(spark, monkeypatch, few):
     assert got == {i: w for i, w in enumerate(want) if w}
 
 
+def test_copies_apart_in_both_orders(spark):
+    """X Y Z in a few texts, many with X Y or Y Z alone: the copies are neighbours in neither order."""
+    rng = random.Random(31)
+    word = lambda: f"w{rng.randrange(100_000)}"
+    texts = []
+    for _ in range(6):
+        x, y, z = ([word() for _ in range(20)] for _ in range(3))
+        pad = lambda: [word() for _ in range(60)]
+        texts += [" ".join(pad() + x + y + z + pad()) for _ in range(3)]
+        texts += [" ".join(pad() + part + pad()) for part in (x + y, y + z) for _ in range(40)]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(4)
+    want = brute.repeated_words(texts)
+    rows = suffixes.repeated_passages(docs).collect()
+    got = {r.doc_id: {i for s in r.spans for i in range(s.start, s.end)} for r in rows}
+    assert got == {i: w for i, w in enumerate(want) if w} and len(got) >= 6
+    assert all(r.others and any(o // 83 == r.doc_id // 83 for o in r.others) for r in rows)
+
+
 def test_op10_against_plain(spark, folder):
     rows = rows_of(spark.read.parquet(f"{folder}/documents.parquet"), "doc_id", "text")
     want = {i: w for (i, _), w in zip(rows, brute.repeated_words([t for _, t in rows])) if w}

@@ -12,6 +12,8 @@ and compared in the same way. A match is extended word by word to the right and
 to the left, up to 50 words each way, and counts if both together reach 50
 words. As the next minimiser is at most 43 words away, the extents of
 neighbouring matches overlap, and their union is the whole repeated passage.
+Where texts that share less stand between two copies in both orders, the windows of
+50 words that the longest matches to both sides leave possible are looked up by hash.
 
 Equal texts are handled once; each of two equal texts of 50 words or more is one
 long repeat. A group of equal first words may hold a large part of all suffixes:
@@ -148,15 +150,57 @@ def _compared(rows: DataFrame, order: str, name: str) -> DataFrame:
 
 
 def _matches(rows: DataFrame) -> DataFrame:
-    """(text_key, start, end, other) of suffixes that match a neighbour in either order on 50 words or more.
+    """(text_key, start, end, other) of suffixes that share 50 words or more with another.
 
     The second order gets the results of the first, not its words, so what is moved again is small.
     """
     both = _compared(_compared(rows, "right", "by_right"), "left", "by_left")
-    one = both.select("text_key", "at", F.explode(F.concat("by_right", "by_left")).alias("m"))
-    return one.filter(F.col("m.l") + F.col("m.r") >= LEAST).select(
+    both = frozen(both.select("text_key", "at", "gram", F.concat("by_right", "by_left").alias("near")), "suffix-near")
+    one = both.select("text_key", "at", F.explode("near").alias("m"))
+    near = one.filter(F.col("m.l") + F.col("m.r") >= LEAST).select(
         "text_key", (F.col("at") - F.col("m.l")).alias("start"), (F.col("at") + F.col("m.r")).alias("end"), F.col("m.other").alias("other")
     )
+    return near.unionAll(_beyond_neighbours(rows, both))
+
+
+def _beyond_neighbours(rows: DataFrame, both: DataFrame) -> DataFrame:
+    """(text_key, start, end, other) of repeats that stand with no neighbour.
+
+    The longest match to each side is that with a neighbour of its order, so a window
+    of 50 words repeats only if it lies inside both. Of such windows those that no
+    neighbour's match covers are looked up by their words among all suffixes of equal
+    first words.
+    """
+
+    def longest(side: str) -> Column:
+        return F.coalesce(F.array_max(F.transform("near", lambda m: m[side])), F.lit(0))
+
+    # A window is named by the number of its words before the place.
+    first, last = F.greatest(F.lit(0), LEAST - F.col("right_most")), F.least(F.lit(LEAST - GRAM), F.col("left_most"))
+    windows = F.when(first <= last, F.sequence(first, F.greatest(first, last))).otherwise(F.array().cast("array<int>"))
+    found = both.withColumns({"left_most": longest("l"), "right_most": longest("r")}).withColumn("windows", windows)
+    covered = lambda b: F.exists("near", lambda m: F.coalesce((m["l"] >= b) & (m["r"] >= LEAST - b), F.lit(False)))
+    asked = found.select("gram", F.explode(F.filter("windows", lambda b: ~covered(b))).alias("before"))
+    asked = frozen(asked.distinct(), "suffix-asked")
+    if asked.isEmpty():
+        return rows.select("text_key", F.col("at").alias("start"), F.col("at").alias("end"), F.col("least").alias("other")).limit(0)
+
+    places = found.join(asked.select("gram").distinct(), "gram", "left_semi")
+    places = places.select("text_key", "at", "gram", F.explode("windows").alias("before")).join(asked, ["gram", "before"], "left_semi")
+    words = F.concat_ws(
+        "\n", F.slice(F.split("left", " "), F.lit(1), F.col("before")), F.lit(""), F.slice(F.split("right", " "), F.lit(1), LEAST - F.col("before"))
+    )
+    worded = places.join(rows.select("text_key", "at", "right", "left", "least"), ["text_key", "at"])
+    worded = frozen(
+        worded.select("text_key", "at", "gram", "before", "least", F.unhex(F.md5(words.cast("binary"))).alias("words")), "suffix-windows"
+    )
+    same = ["gram", "before", "words"]
+    groups = worded.groupBy(*same).agg(F.count(F.lit(1)).alias("n"), F.min("least").alias("low"), F.max("least").alias("high"))
+    other = F.when(F.col("low") == F.col("least"), F.col("high")).otherwise(F.col("low"))
+    start = F.col("at") - F.col("before")
+    return worded.join(groups.filter("n > 1"), same).select(
+        "text_key", start.alias("start"), (start + LEAST).alias("end"), other.alias("other")
+    )
 
 
 def _merged(spans: Column) -> Column:
