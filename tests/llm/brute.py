@@ -4,6 +4,7 @@ import collections
 import hashlib
 import math
 import re
+import zlib
 
 WHITE = " \t\n\r\v\f"
 LOWER = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
@@ -195,3 +196,48 @@ def unigram(rows):
         base = sum(math.log10((x + 1) / (total + distinct + 1)) for x in c)
         out[i] = rest[i] == 2, len(c), sum(x > 0 for x in c), total, base
     return out
+
+
+# --- lengths, importance, infill -----------------------------------------------------
+
+
+def draws(key, seed=42):
+    digest = hashlib.sha256(f"{seed}:{'' if key is None else key}".encode()).hexdigest()
+    return [int(digest[8 * i : 8 * i + 8], 16) for i in range(4)]
+
+
+def infilled(key, text, marks=("<P>", "<S>", "<M>"), rate=50, spm_rate=80):
+    """n, form, width of the prefix, width of the middle, output."""
+    text = text or ""
+    units = re.findall(r"[\x20\x09-\x0D]*[^\x20\x09-\x0D]+|[\x20\x09-\x0D]+", text)
+    n, (h1, h2, h3, h4) = len(units), draws(key)
+    a, b = sorted((h1 % (n + 1), h2 % (n + 1)))
+    if not text or any(m in text for m in marks) or h3 % 100 >= rate:
+        return n, "plain", None, None, text
+    p, m, s = "".join(units[:a]), "".join(units[a:b]), "".join(units[b:])
+    if h4 % 100 < spm_rate:
+        return n, "spm", len(p), len(m), marks[1] + s + marks[0] + p + marks[2] + m
+    return n, "psm", len(p), len(m), marks[0] + p + marks[1] + s + marks[2] + m
+
+
+def resampled(docs, target, percent=5, least=20, buckets=10_000):
+    """(key, features, weight, score, rank) of each of the documents (key, text)."""
+
+    def features(text):
+        words = re.findall(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+", (text or "").translate(LOWER))
+        runs = [" ".join(words[i : i + k]) for k in (1, 2, 3) for i in range(len(words) - k + 1)]
+        return len(words), [zlib.crc32(f.encode()) % buckets for f in runs]
+
+    rows = [(key, *features(text)) for key, text in docs]
+    s = collections.Counter(b for _, _, found in rows for b in found)
+    t = collections.Counter(b for text in target for b in features(text)[1])
+    all_s, all_t = s.total() + buckets, t.total() + buckets
+    gain = lambda b: math.floor(1000 * math.log((t[b] + 1) * all_s / ((s[b] + 1) * all_t)))
+    scored = []
+    for key, n, found in rows:
+        weight = sum(map(gain, found))
+        scored.append((key, n, len(found), weight, weight + math.floor(-1000 * math.log(-math.log((draws(key)[0] + 0.5) / 2**32)))))
+    order = sorted((r for r in scored if r[1] >= least), key=lambda r: (-r[4], r[0] is None, r[0] or 0, r[2]))
+    drawn = len(order) * percent // 100
+    ranked = [(*r, i + 1 if i < drawn else None) for i, r in enumerate(order)]
+    return [(k, f, w, sc, rank) for k, _, f, w, sc, rank in [*ranked, *((*r, None) for r in scored if r[1] < least)]]

@@ -15,10 +15,10 @@ def test_query_equals_sql(spark, folder, name):
 
 
 def test_every_numbered_operator_has_a_query():
-    assert {n.split("_")[0] for n in QUERIES} == {f"op{i}" for i in range(1, 11)}
+    assert {n.split("_")[0] for n in QUERIES} == {f"op{i}" for i in range(1, 14)}
 
 
-@pytest.mark.parametrize("name", ["op3_secrets", "op5_personal_data", "op8_quality_rules", "op9_near_duplicates"])
+@pytest.mark.parametrize("name", ["op3_secrets", "op5_personal_data", "op8_quality_rules", "op9_near_duplicates", "op13_fill_in_middle"])
 def test_query_equals_sql_on_made_up_texts(spark, monkeypatch, name):
     texts = [*SECRETS, *PERSONAL, None, "", "a\n\na\nb", "x y z w v x y z w v x", "SHOUT LOUD!! " * 8]
     rows = [(i, t) for i, t in enumerate(texts)]

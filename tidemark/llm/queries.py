@@ -8,7 +8,23 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import bpe, brown, chat, decontaminate, grades, neardup, pii, rules, secrets, spans, sql, suffixes
+from tidemark.llm import (
+    bpe,
+    brown,
+    chat,
+    decontaminate,
+    grades,
+    importance,
+    infill,
+    lengths,
+    neardup,
+    pii,
+    rules,
+    secrets,
+    spans,
+    sql,
+    suffixes,
+)
 from tidemark.sources.readers import read_table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -145,3 +161,31 @@ def op10_repeated_passages(spark: SparkSession, folder: str) -> DataFrame:
     found = suffixes.repeated_passages(read_table(spark, folder, "documents"))
     listed = F.transform("spans", lambda s: F.concat_ws(":", s["start"].cast("string"), s["end"].cast("string")))
     return found.select("doc_id", "n_words", "n_repeated", F.array_join(listed, ",").alias("spans"), "others")
+
+
+@query()
+def op11_token_counts(spark: SparkSession, folder: str) -> DataFrame:
+    """Bytes and tokens of every text, and whether they exceed 512 tokens."""
+    counter = lengths.TokenCounter(spark, public_tokenizers.path("byte_bpe_50k.json"))
+    return lengths.token_counts(read_table(spark, folder, "documents"), counter, 512)
+
+
+@query(sql.IMPORTANCE)
+def op12_importance_resampling(spark: SparkSession, folder: str) -> DataFrame:
+    """Weight, score and, if drawn, rank of every document, with the benchmark as target."""
+    return importance.resampled(read_table(spark, folder, "documents"), read_table(spark, folder, "benchmark"))
+
+
+@query(sql.INFILL)
+def op13_fill_in_middle(spark: SparkSession, folder: str) -> DataFrame:
+    """Every document, half of them cut at two places and reordered, and the text rebuilt from the output."""
+    made = infill.infilled(read_table(spark, folder, "documents"))
+    return made.select(
+        "doc_id",
+        "n",
+        "form",
+        "prefix_chars",
+        "middle_chars",
+        sha256(F.col("output")).alias("output_sha256"),
+        sha256(infill.restored(F.col("output"), F.col("form"))).alias("restored_sha256"),
+    )

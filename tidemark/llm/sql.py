@@ -226,3 +226,64 @@ NEAR_DUPLICATES = f"""WITH RECURSIVE d AS (
 SELECT doc_id, CAST(coalesce(n_shingles, 0) AS BIGINT) AS n_shingles, component_id,
        doc_id IS NOT DISTINCT FROM component_id AS kept
 FROM d JOIN component USING (rid) LEFT JOIN size USING (rid)"""
+
+INFILL = r"""WITH d AS (
+  SELECT doc_id, coalesce(text, '') AS t, sha256('42:' || coalesce(CAST(doc_id AS VARCHAR), '')) AS h FROM documents
+), u AS (
+  SELECT *, regexp_extract_all(t, '[\x20\x09-\x0D]*[^\x20\x09-\x0D]+|[\x20\x09-\x0D]+') AS units,
+         CAST(('0x' || h[1:8]) AS BIGINT) AS h1, CAST(('0x' || h[9:16]) AS BIGINT) AS h2,
+         CAST(('0x' || h[17:24]) AS BIGINT) AS h3, CAST(('0x' || h[25:32]) AS BIGINT) AS h4
+  FROM d
+), c AS (
+  SELECT *, CAST(len(units) AS BIGINT) AS n, least(h1 % (len(units) + 1), h2 % (len(units) + 1)) AS a,
+         greatest(h1 % (len(units) + 1), h2 % (len(units) + 1)) AS b,
+         CASE WHEN t = '' OR contains(t, '<P>') OR contains(t, '<S>') OR contains(t, '<M>') OR h3 % 100 >= 50 THEN 'plain'
+              WHEN h4 % 100 < 80 THEN 'spm' ELSE 'psm' END AS form
+  FROM u
+), p AS (
+  SELECT *, array_to_string(units[1:a], '') AS pre, array_to_string(units[a + 1:b], '') AS mid,
+         array_to_string(units[b + 1:], '') AS suf
+  FROM c
+)
+SELECT doc_id, n, form, CASE WHEN form <> 'plain' THEN CAST(length(pre) AS BIGINT) END AS prefix_chars,
+       CASE WHEN form <> 'plain' THEN CAST(length(mid) AS BIGINT) END AS middle_chars,
+       sha256(CASE form WHEN 'plain' THEN t WHEN 'psm' THEN '<P>' || pre || '<S>' || suf || '<M>' || mid
+                        ELSE '<S>' || suf || '<P>' || pre || '<M>' || mid END) AS output_sha256,
+       sha256(t) AS restored_sha256
+FROM p"""
+
+# CRC-32 of a distinct feature: 256 states of one byte, then one step per byte.
+IMPORTANCE = f"""WITH bits AS (
+  SELECT list(list_reduce([i, 0, 0, 0, 0, 0, 0, 0, 0], lambda c, z: CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END) ORDER BY i) AS tab
+  FROM (SELECT CAST(i AS BIGINT) AS i FROM range(256) AS r(i))
+), d AS (
+  SELECT row_number() OVER () AS rid, doc_id, regexp_extract_all({LOWER}, '{PLAIN_WORD}') AS w FROM documents
+), b AS (SELECT regexp_extract_all({LOWER}, '{PLAIN_WORD}') AS w FROM benchmark
+), df AS (
+  SELECT rid, array_to_string(w[i:i + k - 1], ' ') AS f FROM d, unnest([1, 2, 3]) AS s(k), unnest(range(1, len(w) - k + 2)) AS u(i)
+), bf AS (
+  SELECT array_to_string(w[i:i + k - 1], ' ') AS f FROM b, unnest([1, 2, 3]) AS s(k), unnest(range(1, len(w) - k + 2)) AS u(i)
+), hashed AS (
+  SELECT f, xor(list_reduce(
+      list_prepend(CAST(4294967295 AS BIGINT), list_transform(range(1, strlen(f) + 1), lambda j: CAST(('0x' || hex(encode(f))[2 * j - 1:2 * j]) AS BIGINT))),
+      lambda s, x: xor(s >> 8, tab[(xor(s, x) & 255) + 1])), 4294967295) % 10000 AS bucket
+  FROM (SELECT DISTINCT f FROM (SELECT f FROM df UNION ALL SELECT f FROM bf)), bits
+), s AS (SELECT bucket, count(*) AS s FROM df JOIN hashed USING (f) GROUP BY bucket
+), t AS (SELECT bucket, count(*) AS t FROM bf JOIN hashed USING (f) GROUP BY bucket
+), sums AS (SELECT (SELECT count(*) FROM df) + 10000 AS ss, (SELECT count(*) FROM bf) + 10000 AS tt
+), gain AS (
+  SELECT r.bucket, CAST(floor(1000 * ln(CAST((coalesce(t, 0) + 1) * ss AS DOUBLE) / CAST((coalesce(s, 0) + 1) * tt AS DOUBLE))) AS BIGINT) AS gain
+  FROM range(10000) AS r(bucket) LEFT JOIN s USING (bucket) LEFT JOIN t USING (bucket), sums
+), weights AS (
+  SELECT rid, CAST(sum(gain) AS BIGINT) AS weight FROM df JOIN hashed USING (f) JOIN gain USING (bucket) GROUP BY rid
+), scored AS (
+  SELECT doc_id, len(w) AS n, CAST(len(w) + greatest(len(w) - 1, 0) + greatest(len(w) - 2, 0) AS BIGINT) AS n_features,
+         coalesce(weight, 0) AS weight,
+         coalesce(weight, 0) + CAST(floor(-1000 * ln(-ln((CAST(('0x' || sha256('42:' || coalesce(CAST(doc_id AS VARCHAR), ''))[1:8]) AS BIGINT) + 0.5::DOUBLE) / 4294967296))) AS BIGINT) AS score
+  FROM d LEFT JOIN weights USING (rid)
+), ranked AS (
+  SELECT *, CASE WHEN n >= 20 THEN row_number() OVER (PARTITION BY n >= 20 ORDER BY score DESC, doc_id NULLS LAST, n_features) END AS place,
+         count(*) FILTER (WHERE n >= 20) OVER () AS eligible
+  FROM scored
+)
+SELECT doc_id, n_features, weight, score, CASE WHEN place <= 5 * eligible // 100 THEN place END AS rank FROM ranked"""
