@@ -8,6 +8,7 @@ from tidemark.queries.registry import query
 from tidemark.sources.readers import read_table
 from tidemark.sources.scratch import fresh_dir
 from tidemark.streaming import sinks
+from tidemark.streaming.replay import Replay
 from tidemark.streaming.sources import file_stream, table_stream, with_event_time
 from tidemark.streaming.windows import flat_window, windowed_count
 
@@ -28,19 +29,10 @@ def _stream(spark, sf):
     return with_event_time(table_stream(spark, sf, "events", EVENTS).select("ts"), "ts")
 
 
-def _batches(spark, sf):
-    """The events in order of time, landed as four files and read in as many micro-batches."""
-    landing = fresh_dir(spark, "landing")
-    events = read_table(spark, sf, "events").select("ts")
-    first, last = events.agg(F.min("ts"), F.max("ts")).first()
-    if first is None:
-        events.write.parquet(landing)
-    for i in range(BATCHES if first is not None else 0):
-        low, high = (first + (last - first) * k / BATCHES for k in (i, i + 1))
-        later = F.col("ts") >= F.lit(low).cast("timestamp_ntz")
-        part = events.filter(later & ((F.col("ts") < F.lit(high).cast("timestamp_ntz")) if i < BATCHES - 1 else F.lit(True)))
-        part.coalesce(1).write.mode("append").parquet(landing)
-    return with_event_time(file_stream(spark, landing, "ts timestamp_ntz", files_per_batch=1), "ts")
+def _replay(spark, sf):
+    """The events in order of time, to land in batches of many files; and the stream of them."""
+    replay = Replay(spark, fresh_dir(spark, "replay")).stage(read_table(spark, sf, "events").select("ts"), "ts", BATCHES)
+    return replay, with_event_time(replay.stream(), "ts")
 
 
 def _counted(spark, sf, width):
@@ -49,8 +41,9 @@ def _counted(spark, sf, width):
 
 @query(_counts("1 hour"))
 def src_11_sql_over_stream(spark, sf):
-    counts = windowed_count(_batches(spark, sf), width="1 hour", late=LATE)
-    name = sinks.to_memory(counts, sinks.unique_name("windows"), mode="complete")
+    replay, stream = _replay(spark, sf)
+    counts = windowed_count(stream, width="1 hour", late=LATE)
+    name = sinks.to_memory(counts, sinks.unique_name("windows"), mode="complete", run=replay.run)
     return flat_window(spark.sql(f"SELECT * FROM {name} ORDER BY window"))
 
 
@@ -63,8 +56,9 @@ def src_14_file_stream(spark, sf):
 @query(_counts("1 hour"))
 def snk_09_memory(spark, sf):
     """Update mode adds a row each time a batch changes a window; counts only grow, so the largest is the latest."""
-    counts = flat_window(windowed_count(_batches(spark, sf), width="1 hour", late=LATE))
-    updates = spark.table(sinks.to_memory(counts, sinks.unique_name("windows"), mode="update"))
+    replay, stream = _replay(spark, sf)
+    counts = flat_window(windowed_count(stream, width="1 hour", late=LATE))
+    updates = spark.table(sinks.to_memory(counts, sinks.unique_name("windows"), mode="update", run=replay.run))
     return updates.groupBy("window_start", "window_end").agg(F.max("event_count").alias("event_count"))
 
 
@@ -85,7 +79,10 @@ def str_02_tumbling(spark, sf):
 
 @query(_counts("1 hour"))
 def str_03_update_mode(spark, sf):
-    return sinks.to_latest(_counted(spark, sf, "1 hour"), fresh_dir(spark, "stream"), ["window_start", "window_end"])
+    """Several batches, their folders merged on the way."""
+    replay, stream = _replay(spark, sf)
+    counts = flat_window(windowed_count(stream, width="1 hour", late=LATE))
+    return sinks.to_latest(counts, fresh_dir(spark, "stream"), ["window_start", "window_end"], run=replay.run, every=2)
 
 
 @query("SELECT event_type, count(*) AS n FROM events GROUP BY event_type")
@@ -96,8 +93,9 @@ def str_04_life_cycle(spark, sf):
 
 @query(f"SELECT count(*) AS windows_captured, cast(sum(event_count) AS bigint) AS events FROM ({_counts('1 hour')})")
 def str_05_read_result(spark, sf):
-    counts = flat_window(windowed_count(_batches(spark, sf), width="1 hour", late=LATE))
-    table = spark.table(sinks.to_memory(counts, sinks.unique_name("windows"), mode="complete"))
+    replay, stream = _replay(spark, sf)
+    counts = flat_window(windowed_count(stream, width="1 hour", late=LATE))
+    table = spark.table(sinks.to_memory(counts, sinks.unique_name("windows"), mode="complete", run=replay.run))
     return table.agg(F.count(F.lit(1)).alias("windows_captured"), F.sum("event_count").alias("events"))
 
 

@@ -3,17 +3,16 @@
 from __future__ import annotations
 
 import uuid
+from collections.abc import Callable
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.streaming.readwriter import DataStreamWriter
-from pyspark.sql.types import LongType, StructField, StructType
+from pyspark.sql.types import StructType
 
 from tidemark.sources.scratch import fresh_dir
-
-BATCH = "_batch"
+from tidemark.streaming.latest import EVERY, LatestTable
 
 
 class StreamTimeout(TimeoutError):
@@ -33,6 +32,10 @@ def run_to_end(writer: DataStreamWriter, timeout: int | None = None) -> Streamin
     return query
 
 
+# How a sink runs a stream: ``run_to_end``, or the ``run`` of a ``replay.Replay``.
+Run = Callable[[DataStreamWriter, int | None], StreamingQuery]
+
+
 def unique_name(prefix: str) -> str:
     return f"{prefix}_{uuid.uuid4().hex}"
 
@@ -51,7 +54,7 @@ def _read(spark: SparkSession, path: str, schema: StructType) -> DataFrame:
         return spark.createDataFrame([], schema)
 
 
-def to_memory(stream: DataFrame, name: str, mode: str = "update", timeout: int | None = None) -> str:
+def to_memory(stream: DataFrame, name: str, mode: str = "update", timeout: int | None = None, run: Run = run_to_end) -> str:
     """Run into a table held by the driver and return its name.
 
     For results of known small size, such as counts per window. In update mode
@@ -59,38 +62,28 @@ def to_memory(stream: DataFrame, name: str, mode: str = "update", timeout: int |
     ``mode="complete"`` keeps one row per window.
     """
     folder = fresh_dir(stream.sparkSession, "stream")
-    run_to_end(_writer(stream, mode, folder).format("memory").queryName(name), timeout)
+    run(_writer(stream, mode, folder).format("memory").queryName(name), timeout)
     return name
 
 
-def to_parquet(stream: DataFrame, folder: str, timeout: int | None = None) -> DataFrame:
+def to_parquet(stream: DataFrame, folder: str, timeout: int | None = None, run: Run = run_to_end) -> DataFrame:
     """Run in append mode into Parquet files, each row written once, and read them.
 
     A run that was interrupted goes on from its checkpoint when it is started with
     the same folder.
     """
-    run_to_end(_writer(stream, "append", folder).format("parquet").option("path", f"{folder}/table"), timeout)
+    run(_writer(stream, "append", folder).format("parquet").option("path", f"{folder}/table"), timeout)
     return _read(stream.sparkSession, f"{folder}/table", stream.schema)
 
 
-def to_latest(stream: DataFrame, folder: str, keys: list[str], timeout: int | None = None) -> DataFrame:
+def to_latest(
+    stream: DataFrame, folder: str, keys: list[str], timeout: int | None = None, run: Run = run_to_end, every: int = EVERY
+) -> DataFrame:
     """Run in update mode and read the latest row of each key.
 
-    A batch is written to its own folder, which a repeated batch replaces, so a
+    Updates go to a ``LatestTable`` that merges its folders every so many batches. A
     restart neither loses nor doubles an update.
     """
-    path = f"{folder}/table"
-
-    def write(batch: DataFrame, number: int) -> None:
-        batch.write.mode("overwrite").parquet(f"{path}/{BATCH}={number}")
-
-    run_to_end(_writer(stream, "update", folder).foreachBatch(write), timeout)
-    schema = StructType([*stream.schema.fields, StructField(BATCH, LongType())])
-    return latest(_read(stream.sparkSession, path, schema), keys, BATCH)
-
-
-def latest(updates: DataFrame, keys: list[str], version: str) -> DataFrame:
-    """The row with the highest version for each key."""
-    rest = [c for c in updates.columns if c not in (*keys, version)]
-    last = updates.groupBy(*keys).agg(F.max_by(F.struct(*rest), version).alias("_last"))
-    return last.select(*keys, *(F.col(f"_last.{c}").alias(c) for c in rest))
+    table = LatestTable(stream.sparkSession, f"{folder}/table", stream.schema, keys, every)
+    run(_writer(stream, "update", folder).foreachBatch(table.add), timeout)
+    return table.read()
