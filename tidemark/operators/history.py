@@ -41,7 +41,7 @@ def increment_report(df: DataFrame, column: str, mark: str) -> DataFrame:
     return counts.select("total_records", "incremental_records", share.alias("incremental_ratio"), "next_mark")
 
 
-def _as_text(mark: Column, kind: DataType) -> Column:
+def as_text(mark: Column, kind: DataType) -> Column:
     """Text that casts back to the same value; an instant carries its offset, so any session zone reads it alike."""
     return F.date_format(mark, "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX") if isinstance(kind, TimestampType) else mark.cast("string")
 
@@ -52,7 +52,7 @@ def read_mark(spark: SparkSession, path: str) -> str | None:
         marks = read_required(spark, path)
     except MissingInput:
         return None
-    return marks.agg(_as_text(F.max("mark"), marks.schema["mark"].dataType)).first()[0]
+    return marks.agg(as_text(F.max("mark"), marks.schema["mark"].dataType)).first()[0]
 
 
 def save_mark(df: DataFrame, column: str, path: str) -> str:

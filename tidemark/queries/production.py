@@ -6,8 +6,9 @@ from pyspark.sql import functions as F
 
 from tidemark.functions.money import amount, money_sum
 from tidemark.operators import history, quality
+from tidemark.operators.increments import IncrementalTable, VersionedTable
 from tidemark.operators.relational import duplicate_count, stacked
-from tidemark.queries.registry import CLICKS, money, query, rounded
+from tidemark.queries.registry import CLICKS, ORACLE, money, query, rounded
 from tidemark.sources.clicks import PURCHASE, clicks
 from tidemark.sources.readers import read_table
 from tidemark.sources.scratch import fresh_dir
@@ -31,6 +32,19 @@ def prd_01_incremental(spark, sf):
     return history.increment_report(events, "ts", history.read_mark(spark, path) or MARK)
 
 
+@query("SELECT event_id, ts, user_id, event_type FROM events")
+def prd_01_committed(spark, sf):
+    """The events as a source that grows over time, taken in increments; rows and mark are published together."""
+    events = read_table(spark, sf, "events").select("event_id", "ts", "user_id", "event_type")
+    table = IncrementalTable(spark, fresh_dir(spark, "increments"), events.schema, "ts", every=2)
+    first, last = events.agg(F.min("ts"), F.max("ts")).first()
+    for part in (1, 2) if first is not None else ():
+        moment = F.lit(first + (last - first) * part / 3).cast("timestamp_ntz")
+        table.process(events.filter((F.col("ts") <= moment) | F.col("ts").isNull()))
+    table.process(events)
+    return table.read()
+
+
 @query(
     f"{CLICKS} SELECT "
     + ", ".join(f"count(*) FILTER (WHERE {c} IS NULL) AS {c}_nulls" for c in CHECKED if c != "coupon")
@@ -94,6 +108,20 @@ def prd_06_versions(spark, sf):
     return _versions(spark, sf)
 
 
+@query(ORACLE["prd_06_versions"])
+def prd_06_merged(spark, sf):
+    """The same history, merged from three increments that arrive out of order."""
+    orders, at = read_table(spark, sf, "orders"), F.col("o_orderdate")
+    table = VersionedTable(
+        spark, fresh_dir(spark, "versions"), orders.schema, "o_custkey", "o_orderdate", "o_orderkey", ["o_orderpriority"]
+    )
+    late, early = (F.lit(d).cast("timestamp_ntz") for d in ("1997-01-01", "1994-01-01"))
+    table.merge(orders.filter((at >= late) | at.isNull()))
+    table.merge(orders.filter(at < early))
+    table.merge(orders.filter((at >= early) & (at < late)))
+    return table.read()
+
+
 @query(
     f"""WITH {_VERSIONS}, facts AS (SELECT o_custkey, l_shipdate, l_quantity FROM lineitem JOIN orders ON l_orderkey = o_orderkey)
   SELECT v.o_orderpriority AS priority_then, count(*) AS n, {money('l_quantity')} AS quantity FROM facts f LEFT JOIN versions v
