@@ -1,6 +1,11 @@
 """Dirty amounts, failing metrics, missing shared folders, and plans chosen by size."""
 
+import glob
+import os
+
 import pytest
+from py4j.protocol import Py4JJavaError
+from pyspark.errors import PySparkException
 from pyspark.sql import functions as F
 
 from tidemark.functions.money import money_avg, money_sum, money_sum_or_zero
@@ -12,6 +17,7 @@ from tidemark.plans.inspect import physical_plan
 from tidemark.plans.sizing import broadcast_if_few
 from tidemark.sources import scratch
 from tidemark.sources.readers import with_json_object
+from tidemark.sources.scratch import fresh_dir
 
 
 def test_amounts_below_a_cent_and_beyond_any_sum(spark):
@@ -61,6 +67,55 @@ def test_a_failing_metric_leaves_the_others(spark):
     assert dict(got.dtypes) == dict.fromkeys(got.columns, "double")
 
 
+def test_a_bad_cast_spoils_its_own_metric_in_one_scan(spark, monkeypatch):
+    df = spark.createDataFrame([("1", 2.0, "a"), ("x", 3.0, "b"), (None, 4.0, "a")], "B string, v double, g string")
+    metric = quality.Metric
+    runs = []
+    computed = quality._computed
+    monkeypatch.setattr(quality, "_computed", lambda row: runs.append(row) or computed(row))
+    got = quality.metric_set(
+        df,
+        {
+            "total": metric(F.sum, "v"),
+            "clean": metric(F.sum, "B", [F.col("g") == "a"], kind="int"),
+            "dirty": metric(F.sum, "B", kind="int"),
+            "no_rows": metric(F.max, "B", [F.col("g") == "c"], kind="int"),
+        },
+    )
+    assert got.first().asDict() == {"total": 9.0, "clean": 1.0, "dirty": None, "no_rows": 0.0}
+    assert len(runs) == 1
+
+
+def test_a_failure_that_is_not_the_data_is_raised(spark):
+    path = fresh_dir(spark, "gone")
+    spark.range(4).write.parquet(path)
+    df = spark.read.parquet(path)
+    for file in glob.glob(f"{path}/*.parquet"):
+        os.truncate(file, 4)
+    with pytest.raises((PySparkException, Py4JJavaError)):
+        quality.metric_set(df, {"total": quality.Metric(F.sum, "id")})
+
+    @F.udf("long")
+    def broken(x):
+        raise MemoryError("no memory")
+
+    with pytest.raises((PySparkException, Py4JJavaError)):
+        quality.metric_set(spark.range(3), {"total": quality.Metric(lambda c: F.sum(broken(c)), "id")})
+
+
+def test_division_and_overflow_are_data_errors(spark):
+    df = spark.createDataFrame([(1, 0), (2, 3)], "a int, b int")
+    got = quality.metric_set(
+        df,
+        {
+            "n": quality.Metric(F.count),
+            "ratio": quality.Metric(lambda c: F.sum(c / F.col("b")), "a"),
+            "product": quality.Metric(lambda c: F.sum(c * F.lit(2**31 - 1)), "a"),
+        },
+    )
+    assert got.first().asDict() == {"n": 2.0, "ratio": None, "product": None}
+
+
 class _Conf:
     def __init__(self, **values):
         self.values = values

@@ -5,19 +5,25 @@ known to allow it; otherwise both sides are shuffled and adaptive execution
 splits the partitions that hold a hot key.
 
 Spark can neither broadcast the lookup side of a right or full join nor split a
-hot fact key in one. With a small lookup side, or a counted hot key, both are
-therefore put together from parts that it can: the inner or left join, and the
-lookup rows without a fact. Otherwise Spark's own join is used: small facts are
-broadcast in a right join, and other sides are shuffled.
+hot fact key in one. With a small lookup side both are put together from the inner
+or left join and the lookup rows without a fact. With two large sides Spark's own
+join runs, but for the hot fact keys: their facts are dealt over ``salts`` and meet
+a copy of the key's few lookup rows in each, so a key with a third of all facts is
+joined by many tasks and only lookup rows of hot keys are copied. A NULL key matches
+nothing and takes no part in either.
 """
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import MapType, VariantType
 
 from tidemark.operators.blocks import GROUP_ROWS
-from tidemark.plans.sizing import broadcast_if_small, fits_one_task, may_broadcast
+from tidemark.plans.sizing import broadcast_if_few, broadcast_if_small, fits_one_task, may_broadcast
+from tidemark.sources.scratch import frozen
 
 
 def inner_join(facts: DataFrame, lookup: DataFrame, on: str | list[str]) -> DataFrame:
@@ -49,30 +55,60 @@ def _unused(facts: DataFrame, lookup: DataFrame, on: list[str]) -> DataFrame:
     return lookup.join(known.distinct(), on, "left_anti")
 
 
-def _has_hot_key(facts: DataFrame, keys: list[str]) -> bool:
-    """Whether a key has more rows than a task should join. Counts, combined before the shuffle."""
-    per_key = facts.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))
-    return (per_key.agg(F.max("_n")).first()[0] or 0) > GROUP_ROWS
-
+def hot_keys(facts: DataFrame, on: str | list[str], rows: int = GROUP_ROWS) -> DataFrame:
+    """The keys of more than ``rows`` facts, with their number ``_n``; stored, so that it is counted once.
 
-def right_join(facts: DataFrame, lookup: DataFrame, on: str | list[str]) -> DataFrame:
-    """All lookup rows; fact columns are NULL where no fact matches."""
+    At most one key in ``rows`` facts. Counts are combined before the shuffle. A caller
+    that joins the same facts again may hand the result on.
+    """
+    keys = [on] if isinstance(on, str) else on
+    counts = facts.dropna(subset=keys).groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))
+    return frozen(counts.filter(F.col("_n") > rows), "hot-keys")
+
+
+def _dealt(facts: DataFrame, lookup: DataFrame, keys: list[str], how: str, hot: DataFrame, rows: int) -> DataFrame:
+    """Right or full join of two large sides, the facts of hot keys dealt over salts."""
+    count = hot.count()
+    if not count:
+        return facts.join(lookup, keys, how)
+    salts = broadcast_if_few(hot.select(*keys, F.ceil(F.col("_n") / rows).cast("int").alias("_salts")), count)
+    known = broadcast_if_few(hot.select(*keys), count)
+    rest = facts.join(known, keys, "left_anti").join(lookup.join(known, keys, "left_anti"), keys, how)
+    # By content, so that a task that runs again deals a fact to the same salt.
+    content = [f.name for f in facts.schema.fields if not isinstance(f.dataType, (MapType, VariantType))]
+    salted = facts.join(salts, keys).withColumn("_salt", F.pmod(F.xxhash64(*content), F.col("_salts")).cast("int")).drop("_salts")
+    every = F.explode(F.sequence(F.lit(0), F.col("_salts") - 1)).alias("_salt")
+    copies = lookup.join(salts, keys).select(*lookup.columns, every)
+    # A hot key has facts, so each of its lookup rows has a match; its facts may have none.
+    matched = salted.join(copies, [*keys, "_salt"], "inner" if how == "right" else "left").drop("_salt")
+    return rest.unionByName(matched.select(*rest.columns))
+
+
+def right_join(facts: DataFrame, lookup: DataFrame, on: str | list[str], hot: DataFrame | None = None, rows: int = GROUP_ROWS) -> DataFrame:
+    """All lookup rows; fact columns are NULL where no fact matches.
+
+    ``hot``: the result of ``hot_keys`` if known; two large sides are counted otherwise.
+    """
     keys = [on] if isinstance(on, str) else on
     if may_broadcast(facts):
         return F.broadcast(facts).join(lookup, keys, "right")
-    if not may_broadcast(lookup) and not _has_hot_key(facts, keys):
-        return facts.join(lookup, keys, "right")
-    matched = inner_join(facts, lookup, keys)
-    return matched.unionByName(_unused(facts, lookup, keys), allowMissingColumns=True)
+    if may_broadcast(lookup):
+        return inner_join(facts, lookup, keys).unionByName(_unused(facts, lookup, keys), allowMissingColumns=True)
+    hot = hot_keys(facts, keys, rows) if hot is None else hot
+    return _dealt(facts.dropna(subset=keys), lookup, keys, "right", hot, rows)
 
 
-def full_join(facts: DataFrame, lookup: DataFrame, on: str | list[str]) -> DataFrame:
-    """All rows of both sides."""
+def full_join(facts: DataFrame, lookup: DataFrame, on: str | list[str], hot: DataFrame | None = None, rows: int = GROUP_ROWS) -> DataFrame:
+    """All rows of both sides. ``hot`` as in ``right_join``."""
     keys = [on] if isinstance(on, str) else on
-    if fits_one_task(facts) or (not may_broadcast(lookup) and not _has_hot_key(facts, keys)):
+    if fits_one_task(facts):
         return facts.join(lookup, keys, "full")
-    matched = left_join(facts, lookup, keys)
-    return matched.unionByName(_unused(facts, lookup, keys), allowMissingColumns=True)
+    if may_broadcast(lookup):
+        return left_join(facts, lookup, keys).unionByName(_unused(facts, lookup, keys), allowMissingColumns=True)
+    hot = hot_keys(facts, keys, rows) if hot is None else hot
+    joined = _dealt(facts.dropna(subset=keys), lookup, keys, "full", hot, rows)
+    without_key = facts.filter(reduce(lambda a, b: a | b, (F.col(k).isNull() for k in keys)))
+    return joined.unionByName(without_key, allowMissingColumns=True)
 
 
 JOINS = {

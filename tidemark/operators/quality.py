@@ -6,7 +6,9 @@ from collections.abc import Callable
 from dataclasses import dataclass, field
 from functools import reduce
 
+from py4j.java_gateway import is_instance_of
 from py4j.protocol import Py4JJavaError
+from pyspark import SparkContext
 from pyspark.errors import AnalysisException, PySparkException
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -73,55 +75,92 @@ def null_gate(df: DataFrame, columns: list[str]) -> DataFrame:
 
 @dataclass(frozen=True)
 class Metric:
-    """An aggregate over one column, restricted to rows that pass all filters."""
+    """An aggregate over one column, restricted to rows that pass all filters.
+
+    With ``kind`` the column is cast to that type first. A row that passes the filters
+    and whose value cannot be cast makes the whole metric NULL.
+    """
 
     func: Callable[[Column], Column]
     column: str = "*"
     filters: list[Column] = field(default_factory=list)
+    kind: str | None = None
 
     def expression(self) -> Column:
+        """The metric as a double, 0 without a value."""
         source = F.lit(1) if self.column == "*" else F.col(self.column)
-        if not self.filters:
-            return self.func(source)
-        return self.func(F.when(reduce(lambda a, b: a & b, self.filters), source))
+        if self.kind is None:
+            return self._value(source)
+        cast = source.try_cast(self.kind)
+        dirty = F.count_if(reduce(lambda a, b: a & b, self.filters, source.isNotNull() & cast.isNull()))
+        return F.when(dirty == 0, self._value(cast))
+
+    def _value(self, source: Column) -> Column:
+        if self.filters:
+            source = F.when(reduce(lambda a, b: a & b, self.filters), source)
+        return F.coalesce(self.func(source).cast("double"), F.lit(0.0))
+
+
+def metric_row(df: DataFrame, metrics: dict[str, Metric]) -> DataFrame:
+    """All metrics as one aggregate, planned but not run: one scan whatever their filters.
+
+    A metric that cannot be resolved against the table (its column is missing) is NULL.
+    """
+    missing = F.max(F.lit(None).cast("double"))
+    return df.agg(*((m.expression() if _resolves(df, m) else missing).alias(name) for name, m in metrics.items()))
 
 
 def metric_set(df: DataFrame, metrics: dict[str, Metric]) -> DataFrame:
     """All metrics in one row, as doubles, from one scan. Runs when it is called.
 
-    A metric without a value is 0. A metric that fails is NULL and the others are
-    computed, whether it cannot be resolved against the table (its column is
-    missing) or fails on some row (a cast of dirty text). Filters become conditions
-    inside the aggregate, so metrics with different filters share the scan; only if
-    that scan fails are they computed one by one.
+    A metric without a value is 0. One that cannot be resolved, or whose ``kind`` does
+    not fit a row, is NULL, and the scan goes on. If an expression of the caller's own
+    fails on the data of some row, the metrics are computed one by one and the failing
+    ones are NULL. Any other failure (a lost executor, a missing file, no memory) is no
+    statement about the data: it is raised.
     """
-    values = {
-        name: F.coalesce(metric.expression().cast("double"), F.lit(0.0)).alias(name)
-        for name, metric in metrics.items()
-        if _resolves(df, metric)
-    }
-    found = _computed(df, list(values.values()))
+    found = _computed(metric_row(df, metrics))
     if found is None:
         found = {}
-        for value in values.values():
-            found |= _computed(df, [value]) or {}
+        for name, metric in metrics.items():
+            found |= _computed(metric_row(df, {name: metric})) or {}
     schema = StructType([StructField(name, DoubleType()) for name in metrics])
     return local_table(df.sparkSession, [tuple(found.get(name) for name in metrics)], schema)
 
 
 def _resolves(df: DataFrame, metric: Metric) -> bool:
     try:
-        df.agg(metric.expression().cast("double"))
+        df.agg(metric.expression())
         return True
     except AnalysisException:
         return False
 
 
-def _computed(df: DataFrame, values: list[Column]) -> dict | None:
-    """The values of one aggregate, None if it fails while it runs."""
-    if not values:
+def _computed(row: DataFrame) -> dict | None:
+    """The values of a one-row frame, None if some row's data do not fit an expression."""
+    if not row.columns:
         return {}
     try:
-        return df.agg(*values).first().asDict()
-    except (PySparkException, Py4JJavaError):
+        return row.first().asDict()
+    except (PySparkException, Py4JJavaError) as e:
+        if not is_data_error(e):
+            raise
         return None
+
+
+# SQLSTATE classes for errors of the data (22: data exception, such as a
+# bad cast, an overflow or a division by zero; 21: more rows than one).
+DATA_STATES = ("22", "21")
+
+
+def is_data_error(error: Exception) -> bool:
+    """Whether a failed job failed on its data, by the SQLSTATE of the error or of what caused it."""
+    state = error.getSqlState() if isinstance(error, PySparkException) else None
+    if state:
+        return state.startswith(DATA_STATES)
+    cause = getattr(error, "java_exception", None) or getattr(error, "_origin", None)
+    while cause is not None:
+        if is_instance_of(SparkContext._gateway, cause, "org.apache.spark.SparkThrowable") and cause.getSqlState():
+            return cause.getSqlState().startswith(DATA_STATES)
+        cause = cause.getCause()
+    return False

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from tidemark.functions.buckets import hour_bucket
 from tidemark.functions.money import money_avg, money_sum, money_sum_or_zero, percent, ratio, round2
+from tidemark.operators import distinct
 from tidemark.operators.aggregates import by_each, count_where, first_in_group, listed
 from tidemark.operators.caching import cached
 from tidemark.operators.layers import daily_metrics
@@ -35,14 +36,14 @@ def _rows():
   {money('total_amount')} / count(total_amount) AS avg_order_value, max(total_amount) AS max_order_value FROM clicks"""
 )
 def agg_01_global(spark, sf):
-    return clicks(spark, sf).agg(
-        _rows().alias("total_events"),
-        F.count_distinct("user_id").alias("unique_users"),
-        F.count_distinct("session_id").alias("unique_sessions"),
-        money_sum("total_amount").alias("total_revenue"),
-        money_avg("total_amount").alias("avg_order_value"),
-        F.max("total_amount").alias("max_order_value"),
-    )
+    measures = {
+        "total_events": _rows(),
+        "total_revenue": money_sum("total_amount"),
+        "avg_order_value": money_avg("total_amount"),
+        "max_order_value": F.max("total_amount"),
+    }
+    apart = {"unique_users": F.col("user_id"), "unique_sessions": F.col("session_id")}
+    return distinct.measured(clicks(spark, sf), [], measures, apart)
 
 
 @query(f"{CLICKS} SELECT event_type, count(*) AS event_count, count(DISTINCT user_id) AS unique_users FROM clicks GROUP BY event_type")
@@ -85,6 +86,14 @@ def agg_05_distinct(spark, sf):
     )
 
 
+@query("SELECT l_returnflag, count(DISTINCT l_partkey) AS parts FROM lineitem GROUP BY l_returnflag")
+def agg_05_bitmaps(spark, sf):
+    """Bitmaps per flag, status and month of shipping, merged to flags without a second look at the rows."""
+    lines = read_table(spark, sf, "lineitem").withColumn("month", F.date_trunc("month", "l_shipdate"))
+    fine = distinct.id_bitmaps(lines, ["l_returnflag", "l_linestatus", "month"], "l_partkey")
+    return distinct.distinct_from(fine, ["l_returnflag"], "parts")
+
+
 @query(f"{CLICKS} SELECT event_type, {money('total_amount')} AS revenue FROM clicks GROUP BY event_type")
 def agg_06_sum(spark, sf):
     return clicks(spark, sf).groupBy("event_type").agg(money_sum("total_amount").alias("revenue"))
