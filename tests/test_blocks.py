@@ -15,6 +15,7 @@ from tidemark.operators import windows as win
 from tidemark.operators.aggregates import listed
 from tidemark.operators.blocks import Limits, split_by_group_size
 from tidemark.operators.history import as_of, versions
+from tidemark.plans.inspect import physical_plan
 
 TINY = Limits(one_task_bytes=0, group_rows=7)
 
@@ -133,7 +134,7 @@ def change_log(spark, seed):
 
 
 @pytest.mark.parametrize("seed", range(2))
-def test_versions_and_lookup(spark, seed):
+def test_versions_and_lookup(spark, monkeypatch, seed):
     log = change_log(spark, seed)
     plain = versions(log, "k", "at", "change", ["tier"])
     cut = versions(log, "k", "at", "change", ["tier"], TINY)
@@ -157,7 +158,14 @@ def test_versions_and_lookup(spark, seed):
     single = module.one_at_a_time(history, "k", history.schema["valid_from"].dataType, ["tier"])
     kind = history.schema["valid_from"].dataType
     same(module._by_carrying(facts, single, "k", "at", kind, ["tier"], ["fact"], TINY), expected)
-    same(module._by_interval(facts, single, "k", "at", kind, ["tier"]), expected)
+    monkeypatch.setattr(module, "may_broadcast", lambda df: True)
+    monkeypatch.setattr(module, "VERSIONS_PER_KEY", 1_000)
+    for disjoint in (True, False):
+        joined = as_of(facts, history, "k", "at", ["tier"], ["fact"], disjoint=disjoint)
+        assert "Window" not in physical_plan(joined)  # the versions are stored, not planned again
+        same(joined, expected)
+    monkeypatch.setattr(module, "VERSIONS_PER_KEY", 1)
+    same(as_of(facts, history, "k", "at", ["tier"], ["fact"], TINY, disjoint=True), expected)
 
 
 @pytest.mark.parametrize("few", [True, False])

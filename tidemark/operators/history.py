@@ -4,13 +4,13 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import DataType, TimestampType
+from pyspark.sql.types import DataType, StringType, TimestampType
 
 from tidemark.functions.money import percent
 from tidemark.operators.blocks import Limits
 from tidemark.operators.relational import after
 from tidemark.operators.windows import carried_forward, neighbours
-from tidemark.plans.sizing import broadcast_if_few, fits_one_task, may_broadcast
+from tidemark.plans.sizing import BROADCAST_BYTES, BROADCAST_ROWS, FIXED_WIDTH, fits_one_task, may_broadcast
 from tidemark.sources.readers import MissingInput, read_required
 from tidemark.sources.scratch import frozen
 
@@ -99,6 +99,7 @@ def as_of(
     attributes: list[str],
     tie: list[str],
     limits: Limits = Limits(),
+    disjoint: bool = False,
 ) -> DataFrame:
     """The version that is valid at the moment of each fact.
 
@@ -110,20 +111,22 @@ def as_of(
     two types. ``tie`` names the columns that identify a fact, so that many facts
     of one key and moment can be spread over tasks.
 
-    The history is first brought into this form, one version at a time. A small one
-    with few versions per key is then broadcast and joined on the key, with the
+    The history is first brought into this form, one version at a time; a history
+    that has it already (as ``versions`` makes it) may say so by ``disjoint``. A small
+    one with few versions per key is stored, broadcast and joined on the key, with the
     interval as a condition. Otherwise facts and versions are stacked and, per key
-    in time order, the last version is carried to the facts: one shuffle, no pair
-    of fact and version is ever built, and a key with a third of the facts or of
-    the versions is cut into blocks. Both give the same rows.
+    in time order, the last version is carried to the facts: one shuffle and one sort,
+    no pair of fact and version is ever built, and a key with a third of the facts or
+    of the versions is cut into blocks. Both give the same rows.
     """
     wide = _wider(facts, moment, history, "valid_from")
-    single = one_at_a_time(history, key, wide, attributes, limits)
+    single = _usable(history, key, wide, attributes) if disjoint else one_at_a_time(history, key, wide, attributes, limits)
     if may_broadcast(history):
-        per_key = single.groupBy(key).agg(F.count(F.lit(1)).alias("n"))
-        most, rows = per_key.agg(F.max("n"), F.sum("n")).first()
-        if (most or 0) <= VERSIONS_PER_KEY:
-            return _by_interval(facts, broadcast_if_few(single, rows or 0), key, moment, wide, attributes)
+        single = frozen(single, "versions")
+        per_key = single.groupBy(key).agg(F.count(F.lit(1)).alias("n"), F.sum(_text_bytes(single, attributes)).alias("bytes"))
+        most, rows, size = per_key.agg(F.max("n"), F.sum("n"), F.sum("bytes")).first()
+        if (most or 0) <= VERSIONS_PER_KEY and (rows or 0) <= BROADCAST_ROWS and (size or 0) <= BROADCAST_BYTES:
+            return _by_interval(facts, F.broadcast(single), key, moment, wide, attributes)
     return _by_carrying(facts, single, key, moment, wide, attributes, tie, limits)
 
 
@@ -136,12 +139,17 @@ def _wider(left: DataFrame, a: str, right: DataFrame, b: str) -> DataType:
     return left.sparkSession.range(0).select(both).schema["c"].dataType
 
 
-def one_at_a_time(history: DataFrame, key: str, kind: DataType, attributes: list[str], limits: Limits = Limits()) -> DataFrame:
-    """(key, valid_from, valid_to, attributes) without overlap: a version ends where the next one starts."""
+def _usable(history: DataFrame, key: str, kind: DataType, attributes: list[str]) -> DataFrame:
+    """Versions that are valid at some moment, bounds in the type they are compared in."""
     start, end = F.col("valid_from").cast(kind), F.col("valid_to").cast(kind)
-    usable = history.select(key, start.alias("valid_from"), end.alias("valid_to"), *attributes).filter(
+    return history.select(key, start.alias("valid_from"), end.alias("valid_to"), *attributes).filter(
         F.col("valid_from").isNotNull() & (F.col("valid_to").isNull() | (F.col("valid_from") < F.col("valid_to")))
     )
+
+
+def one_at_a_time(history: DataFrame, key: str, kind: DataType, attributes: list[str], limits: Limits = Limits()) -> DataFrame:
+    """(key, valid_from, valid_to, attributes) without overlap: a version ends where the next one starts."""
+    usable = _usable(history, key, kind, attributes)
     whole = F.struct("valid_to", *attributes)
     last = F.max_by(whole, F.struct(F.col("valid_to").isNull(), "valid_to", *(F.to_json(F.struct(a)) for a in attributes)))
     once = usable.groupBy(key, "valid_from").agg(last.alias("_v")).select(key, "valid_from", "_v.*")
@@ -149,6 +157,13 @@ def one_at_a_time(history: DataFrame, key: str, kind: DataType, attributes: list
     return following.select(key, "valid_from", F.least("valid_to", "_next").alias("valid_to"), *attributes)
 
 
+def _text_bytes(df: DataFrame, attributes: list[str]) -> Column:
+    """Bytes of the attributes of one row that have no fixed width."""
+    open_ended = [c for c in attributes if not isinstance(df.schema[c].dataType, FIXED_WIDTH)]
+    texts = (F.octet_length(c if isinstance(df.schema[c].dataType, StringType) else F.to_json(F.struct(c))) for c in open_ended)
+    return sum((F.coalesce(t, F.lit(0)) for t in texts), F.lit(0))
+
+
 def _by_interval(
     facts: DataFrame, single: DataFrame, key: str, moment: str, kind: DataType, attributes: list[str]
 ) -> DataFrame:

@@ -133,7 +133,7 @@ def prd_07_point_in_time(spark, sf):
     lines = read_table(spark, sf, "lineitem").select("l_orderkey", "l_linenumber", "l_shipdate", "l_quantity")
     shipped = lines.join(orders, "l_orderkey")
     then = history.as_of(
-        shipped, _versions(spark, sf), "o_custkey", "l_shipdate", ["o_orderpriority"], tie=["l_orderkey", "l_linenumber"]
+        shipped, _versions(spark, sf), "o_custkey", "l_shipdate", ["o_orderpriority"], tie=["l_orderkey", "l_linenumber"], disjoint=True
     )
     return then.groupBy(F.col("o_orderpriority").alias("priority_then")).agg(
         F.count(F.lit(1)).alias("n"), money_sum("l_quantity").alias("quantity")
