@@ -295,6 +295,33 @@ def test_copies_apart_in_both_orders(spark):
     assert all(r.others and any(o // 83 == r.doc_id // 83 for o in r.others) for r in rows)
 
 
+def test_a_form_letter_sends_one_window(spark, monkeypatch):
+    """Many copies of a long passage around Y beside X Y Z: their windows are asked for, but only leaders answer."""
+    rng = random.Random(37)
+    word = lambda: f"w{rng.randrange(100_000)}"
+    words = lambda n: [word() for _ in range(n)]
+    texts = []
+    for _ in range(6):
+        x, y, z, before, behind = (words(20) for _ in range(5))
+        texts += [" ".join(words(60) + x + y + z + words(60)) for _ in range(3)]
+        texts += [" ".join(words(60) + part + words(60)) for part in (x + y, y + z) for _ in range(30)]
+        texts += [" ".join(words(60) + before + y + behind + words(60)) for _ in range(60)]
+    written = {}
+    frozen = suffixes.frozen
+
+    def counted(df, name):
+        written[name] = frozen(df, name)
+        return written[name]
+
+    monkeypatch.setattr(suffixes, "frozen", counted)
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(4)
+    want = brute.repeated_words(texts)
+    got = {r.doc_id: {i for s in r.spans for i in range(s.start, s.end)} for r in suffixes.repeated_passages(docs).collect()}
+    assert got == {i: w for i, w in enumerate(want) if w} and len(got) >= 6 * 63
+    asked = written["suffix-asked"].count()
+    assert 0 < written["suffix-windows"].count() <= 10 * asked
+
+
 def test_op10_against_plain(spark, folder):
     rows = rows_of(spark.read.parquet(f"{folder}/documents.parquet"), "doc_id", "text")
     want = {i: w for (i, _), w in zip(rows, brute.repeated_words([t for _, t in rows])) if w}

@@ -168,8 +168,11 @@ def _beyond_neighbours(rows: DataFrame, both: DataFrame) -> DataFrame:
 
     The longest match to each side is that with a neighbour of its order, so a window
     of 50 words repeats only if it lies inside both. Of such windows those that no
-    neighbour's match covers are looked up by their words among all suffixes of equal
-    first words.
+    neighbour's match covers are looked up by their words among the suffixes of equal
+    first words. Suffixes that stand together in the order to the right and share the
+    window form a run, of which the first one answers for all: a form letter in a
+    thousand copies sends one window, not a thousand. The others of a run are covered
+    by their neighbour, so their own repeat is known already.
     """
 
     def longest(side: str) -> Column:
@@ -186,7 +189,10 @@ def _beyond_neighbours(rows: DataFrame, both: DataFrame) -> DataFrame:
         return rows.select("text_key", F.col("at").alias("start"), F.col("at").alias("end"), F.col("least").alias("other")).limit(0)
 
     places = found.join(asked.select("gram").distinct(), "gram", "left_semi")
-    places = places.select("text_key", "at", "gram", F.explode("windows").alias("before")).join(asked, ["gram", "before"], "left_semi")
+    # The match with the suffix before it, in the order to the right.
+    led = lambda b: F.coalesce((F.col("near")[0]["l"] >= b) & (F.col("near")[0]["r"] >= LEAST - b), F.lit(False))
+    leads = F.filter("windows", lambda b: ~led(b))
+    places = places.select("text_key", "at", "gram", F.explode(leads).alias("before")).join(asked, ["gram", "before"], "left_semi")
     words = F.concat_ws(
         "\n", F.slice(F.split("left", " "), F.lit(1), F.col("before")), F.lit(""), F.slice(F.split("right", " "), F.lit(1), LEAST - F.col("before"))
     )
