@@ -295,6 +295,19 @@ def test_copies_apart_in_both_orders(spark):
     assert all(r.others and any(o // 83 == r.doc_id // 83 for o in r.others) for r in rows)
 
 
+def test_words_in_common_against_plain():
+    rng = random.Random(41)
+    texts = ["", "a", "a b", "ab", "a bc", "é a", *(" ".join(rng.choices(["a", "b", "ab", "é"], k=rng.randrange(6))) for _ in range(60))]
+    for a in texts:
+        for b in texts:
+            n = 0
+            for x, y in zip(a.split(), b.split()):
+                if x != y:
+                    break
+                n += 1
+            assert suffixes.words_in_common(a, b) == n, (a, b)
+
+
 def test_a_form_letter_sends_one_window(spark, monkeypatch):
     """Many copies of a long passage around Y beside X Y Z: their windows are asked for, but only leaders answer."""
     rng = random.Random(37)

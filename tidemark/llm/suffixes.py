@@ -113,23 +113,27 @@ def contexts(texts: pa.Array, wanted: pa.Array) -> pa.Array:
     return pa.array(out, pa.list_(pa.struct([("at", pa.int32()), ("gram", pa.int64()), ("right", pa.string()), ("left", pa.string())])))
 
 
+def words_in_common(a: str, b: str) -> int:
+    """How many words, separated by one blank each, two texts have in common from the start."""
+    low, high = 0, min(len(a), len(b))
+    if a[:high] == b[:high]:
+        low = high
+    while low < high:
+        middle = (low + high + 1) // 2
+        if a[low:middle] == b[low:middle]:
+            low = middle
+        else:
+            high = middle - 1
+    # Of the word in which the texts part, or in which one ends, nothing counts.
+    whole = low > 0 and a[low : low + 1] in ("", " ") and b[low : low + 1] in ("", " ")
+    return a.count(" ", 0, low) + whole
+
+
 @F.arrow_udf(IntegerType())
 def shared_words(left: pa.Array, right: pa.Array) -> pa.Array:
     """How many words two lists of words have in common from the start."""
-    counts = []
-    for a, b in zip(left.to_pylist(), right.to_pylist()):
-        if a is None or b is None:
-            counts.append(None)
-        elif a == b:
-            counts.append(len(a.split(" ")) if a else 0)
-        else:
-            n = 0
-            for x, y in zip(a.split(" "), b.split(" ")):
-                if x != y or not x:
-                    break
-                n += 1
-            counts.append(n)
-    return pa.array(counts, pa.int32())
+    pairs = zip(left.to_pylist(), right.to_pylist())
+    return pa.array([None if a is None or b is None else words_in_common(a, b) for a, b in pairs], pa.int32())
 
 
 def _compared(rows: DataFrame, order: str, name: str) -> DataFrame:
