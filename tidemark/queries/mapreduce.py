@@ -2,12 +2,15 @@
 
 from __future__ import annotations
 
+import json
+
 from pyspark.sql import functions as F
 
 from tidemark.functions.buckets import price_tier
 from tidemark.functions.text import words
 from tidemark.functions.udfs import discounted, price_tier_by_row
 from tidemark.operators import keyvalue as kv
+from tidemark.operators import records
 from tidemark.operators.relational import stacked, top_k
 from tidemark.plans.inspect import partition_count
 from tidemark.queries.registry import CLICKS, RECORDS, WORDS, money, query
@@ -148,3 +151,18 @@ def udf_04_parse_and_extract(spark, sf):
     category = F.from_json("value", "category string").getField("category")
     found = lines.select(category.alias("category")).filter(F.col("category").isNotNull())
     return found.groupBy("category").agg(F.count(F.lit(1)).alias("n"))
+
+
+@query(
+    f"{RECORDS} SELECT category, CAST(NULL AS VARCHAR) AS error, count(*) AS n FROM records WHERE category IS NOT NULL GROUP BY category "
+    "UNION ALL SELECT NULL, 'JSONDecodeError', count(*) FROM clicks WHERE event_id % 97 = 0"
+)
+def udf_04_own_function(spark, sf):
+    """The same categories by a Python function over the raw lines, and how many lines it could not read."""
+
+    def category(line):
+        found = json.loads(line).get("category")
+        return None if found is None else {"category": found}
+
+    found = records.mapped_records(raw_records(clicks(spark, sf)), "value", category, "category string")
+    return found.groupBy("category", F.col(records.ERROR).alias("error")).agg(F.count(F.lit(1)).alias("n"))
