@@ -44,9 +44,8 @@ def secret_scan(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def byte_level_bpe(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Token ids of every document, and whether they decode to its text."""
     tokenizer = bpe.Tokenizer(spark, public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN)
-    encoded = docs.select("doc_id", "lang", "source", "text", tokenizer.encode(F.col("text")).alias("ids"))
-    same = tokenizer.decode(F.col("ids")) == F.coalesce("text", F.lit("")).cast("binary")
-    return encoded.select("doc_id", "lang", "source", F.size("ids").cast("long").alias("n_tokens"), "ids", same.alias("decodes"))
+    encoded = docs.select("doc_id", "lang", "source", tokenizer.encode_checked(F.col("text")).alias("e"))
+    return encoded.select("doc_id", "lang", "source", F.size("e.ids").cast("long").alias("n_tokens"), "e.ids", "e.decodes")
 
 
 STAGES = [

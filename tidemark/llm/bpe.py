@@ -27,7 +27,16 @@ from heapq import heappop, heappush
 import pyarrow as pa
 from pyspark.sql import Column, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import BinaryType, LongType, StringType, StructField, StructType
+from pyspark.sql.types import (
+    ArrayType,
+    BinaryType,
+    BooleanType,
+    IntegerType,
+    LongType,
+    StringType,
+    StructField,
+    StructType,
+)
 
 # Merged pre-tokens kept in a worker (twice as many at most), and the longest that is kept. They bound
 # the memory of a worker and change no result.
@@ -208,6 +217,27 @@ class Tokenizer:
 
         return content(ids)
 
+    def encode_checked(self, text: Column) -> Column:
+        """struct: the ids of a text, and whether they decode to it.
+
+        One function, as two would keep two workers with a vocabulary each for every task.
+        """
+        load = self._loader()
+
+        @F.arrow_udf(ENCODED)
+        def encoded(texts: pa.Array) -> pa.Array:
+            vocabulary = load()
+            packed = [vocabulary.encode(t.as_py()) for t in texts]
+            same = [
+                vocabulary.decode(memoryview(p).cast("I")) == (t.as_py() or "").encode("utf-8", "replace")
+                for p, t in zip(packed, texts)
+            ]
+            return pa.StructArray.from_arrays(
+                [id_lists(packed), pa.array(same, pa.bool_())], fields=[pa.field("ids", pa.list_(pa.int32())), pa.field("decodes", pa.bool_())]
+            )
+
+        return encoded.asNondeterministic()(text)
+
     def round_trip(self, text: Column) -> Column:
         """struct: number of ids, SHA-256 of the packed ids, and the bytes the ids decode to.
 
@@ -231,14 +261,19 @@ class Tokenizer:
         return checked(text)
 
 
+ENCODED = StructType([StructField("ids", ArrayType(IntegerType())), StructField("decodes", BooleanType())])
 CHECKED = StructType(
     [StructField("n_tokens", LongType()), StructField("ids_sha256", StringType()), StructField("decoded", BinaryType())]
 )
 
 
 def encode_all(vocabulary: Vocabulary, texts: pa.Array) -> pa.Array:
+    """A list array of the ids of texts."""
+    return id_lists([vocabulary.encode(t.as_py()) for t in texts])
+
+
+def id_lists(packed: list[bytes]) -> pa.Array:
     """A list array of ids, built from the packed ids without a Python integer per token."""
-    packed = [vocabulary.encode(t.as_py()) for t in texts]
     offsets, total = [0], 0
     for p in packed:
         total += len(p) // 4
