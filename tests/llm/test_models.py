@@ -124,6 +124,66 @@ def test_scoring_of_awkward_rows(spark, awkward, no_documents):
 # --- quality grades --------------------------------------------------------------------
 
 
+def plain_loss(z, grade, cuts):
+    """Minus the log-likelihood by the definition, grade by grade."""
+    total = 0.0
+    for x, g in zip(z, grade):
+        above = [1.0, *(1 / (1 + math.exp(t - x)) for t in cuts), 0.0]
+        total -= math.log(above[g] - above[g + 1])
+    return total
+
+
+def test_likelihood_and_its_slopes():
+    rng = np.random.default_rng(3)
+    z, grade, free, h = rng.normal(0, 3, 200), rng.integers(0, 3, 200), np.array([-0.7, 0.4]), 1e-5
+    value, by_z, by_free = grades.loss(z, grade, free)
+    assert value == pytest.approx(plain_loss(z, grade, grades.thresholds_of(free)), rel=1e-10)
+    for i in range(2):
+        step = np.eye(2)[i] * h
+        slope = (plain_loss(z, grade, grades.thresholds_of(free + step)) - plain_loss(z, grade, grades.thresholds_of(free - step))) / (2 * h)
+        assert by_free[i] == pytest.approx(slope, rel=1e-5)
+    for i in range(20):
+        cuts = grades.thresholds_of(free)
+        slope = (plain_loss([z[i] + h], [grade[i]], cuts) - plain_loss([z[i] - h], [grade[i]], cuts)) / (2 * h)
+        assert by_z[i] == pytest.approx(slope, rel=1e-4, abs=1e-8)
+    far, _, slopes = grades.loss(np.array([300.0, -300.0, 300.0]), np.array([0, 2, 1]), np.array([0.0, -8.0]))
+    assert np.isfinite(far) and np.isfinite(slopes).all()
+
+
+def test_a_fit_reaches_the_plain_optimum():
+    """One feature, grades drawn from a known model: no plain step from the fitted numbers lowers the loss."""
+    rng = np.random.default_rng(5)
+    x = rng.normal(0, 1, 4000)
+    grade = (x[:, None] * 2 + rng.logistic(size=4000)[:, None] > np.array([-0.5, 1.5])).sum(1)
+    signed = [(np.array([7 if v > 0 else 8]), np.array([abs(v)], np.float32), int(g)) for v, g in zip(x, grade)]
+    model = grades.fit_rows(signed)
+    w7, w8 = float(model.weights[7]), float(model.weights[8])
+    assert (w7, w8, *model.thresholds) == pytest.approx((2, -2, -0.5, 1.5), abs=0.25)
+
+    def cost(w7, w8, low, high):
+        z = [w7 * v if v > 0 else -w8 * v for v in x]
+        return plain_loss(z, grade, [low, high]) / 4000 + grades.PENALTY / 2 * (w7 * w7 + w8 * w8)
+
+    best = cost(w7, w8, *model.thresholds)
+    for i in range(4):
+        for move in (-0.05, 0.05):
+            there = np.array([w7, w8, *model.thresholds])
+            there[i] += move
+            assert cost(*there) > best
+
+
+def test_scores_are_features_times_weights(spark):
+    rng = np.random.default_rng(7)
+    model = grades.Model(rng.normal(0, 1, grades.PLACES).astype(np.float32), np.array([-1.0, 1.0]))
+    texts = ["", None, "One one, ONE two 33 ((x))", "a b a b " * 40, "!? -- \u00e9\u00c9 " + "w" * 300]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    found = docs.select("doc_id", grades.graded(docs, model, docs.text).alias("g")).collect()
+    for r in found:
+        z = sum(float(model.weights[p]) * v for p, v in grades.features(texts[r.doc_id]).items())
+        above = [1 / (1 + math.exp(t - z)) for t in model.thresholds]
+        assert (r.g.expected_grade, r.g.top_probability) == pytest.approx((sum(above), above[1]), rel=1e-6)
+
+
 def test_grades_on_held_out_labels(spark):
     folder = "/root/testdata/sf0.1"
     docs, labels = (spark.read.parquet(f"{folder}/{t}.parquet") for t in ("documents", "labels"))

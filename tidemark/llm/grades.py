@@ -4,8 +4,9 @@ A document has a grade 0, 1 or 2 (of the labels ``quality`` and not ``toxic``,
 how many hold). The model is the proportional-odds one: one weight vector shared
 by all grades and ordered thresholds,
 
-    P(grade > k) = logistic(w . x - t_k),   t_0 <= t_1,
+    P(grade > k) = logistic(w . x - t_k),   t_0 < t_1,
 
+fitted by the likelihood of the grades themselves, P(grade > k - 1) - P(grade > k);
 so a text gets an expected grade and the probability of the top grade, and is
 kept if the latter reaches a limit.
 
@@ -101,16 +102,40 @@ def features_of(texts: pa.Array) -> pa.Array:
 
 
 def _logistic(x: np.ndarray) -> np.ndarray:
-    return 1 / (1 + np.exp(-np.clip(x, -40, 40)))
+    return 1 / (1 + np.exp(-np.clip(x, -700, 700)))
+
+
+def thresholds_of(free: np.ndarray) -> np.ndarray:
+    """Thresholds from free numbers: the first as it is, then logarithms of the gaps, so that they ascend."""
+    return np.cumsum(np.concatenate([free[:1], np.exp(free[1:])]))
+
+
+def loss(z: np.ndarray, grade: np.ndarray, free: np.ndarray) -> tuple[float, np.ndarray, np.ndarray]:
+    """Minus the log-likelihood of the grades, its slope by each ``z`` and its slope by each free number.
+
+    A grade lies between two thresholds, ``P = logistic(z - low) - logistic(z - high)``, which is
+    ``logistic(z - low) * logistic(high - z) * (1 - exp(low - high))``: no difference of near numbers.
+    """
+    cuts = thresholds_of(free)
+    ends = np.concatenate([[-np.inf], cuts, [np.inf]])
+    low, high = ends[grade], ends[grade + 1]
+    value = np.logaddexp(0, low - z) + np.logaddexp(0, z - high) - np.log(-np.expm1(low - high))
+    below, above = _logistic(low - z), _logistic(z - high)
+    near = 1 / np.expm1(high - low)  # by the gap: 0 for the outer grades
+    by_cut = np.bincount(grade, below + near, GRADES + 1)[1:GRADES] - np.bincount(grade, above + near, GRADES + 1)[: GRADES - 1]
+    # A free number moves its own threshold and all behind it.
+    by_free = np.cumsum(by_cut[::-1])[::-1] * np.concatenate([[1.0], np.exp(free[1:])])
+    return float(value.sum()), above - below, by_free
 
 
 def fit_rows(rows: list[tuple[np.ndarray, np.ndarray, int]]) -> Model | None:
     """Maximum likelihood with an L2 penalty, by Adam on all rows at once.
 
     ``rows`` has the places, values and grade of each document. The likelihood of a
-    grade is the product of its threshold decisions (is it above 0, above 1), which
-    share the weights. Only features that tell the top grade from the others get a
-    weight, as the many rare words of a long text would add up otherwise.
+    grade is that of lying between its two thresholds (``loss``), so the slopes of
+    neighbouring thresholds depend on each other. Only features that tell the top
+    grade from the others get a weight, as the many rare words of a long text would
+    add up otherwise.
     """
     if not rows:
         return None
@@ -128,20 +153,20 @@ def fit_rows(rows: list[tuple[np.ndarray, np.ndarray, int]]) -> Model | None:
     grade, n = np.array([r[2] for r in rows]), len(rows)
     above = (grade[:, None] > np.arange(GRADES - 1)).astype(float)
     odds = np.clip(above.mean(0), 1 / (n + 2), 1 - 1 / (n + 2))
-    w, t = np.zeros(len(used)), -np.log(odds / (1 - odds))
-    first, second, rate = [np.zeros_like(w), np.zeros_like(t)], [np.zeros_like(w), np.zeros_like(t)], 0.05
+    start = -np.log(odds / (1 - odds))
+    w, free = np.zeros(len(used)), np.concatenate([start[:1], np.log(np.maximum(np.diff(start), 1e-3))])
+    first, second, rate = [np.zeros_like(w), np.zeros_like(free)], [np.zeros_like(w), np.zeros_like(free)], 0.05
     for step in range(1, STEPS + 1):
         z = np.bincount(row_of, values * w[col_of], minlength=n)
-        error = (_logistic(z[:, None] - t) - above) / n
-        slopes = [np.bincount(col_of, values * error.sum(1)[row_of], minlength=len(used)) + PENALTY * w, -error.sum(0)]
-        for i, (target, slope) in enumerate(zip((w, t), slopes)):
+        _, by_z, by_free = loss(z, grade, free)
+        slopes = [np.bincount(col_of, values * by_z[row_of], minlength=len(used)) / n + PENALTY * w, by_free / n]
+        for i, (target, slope) in enumerate(zip((w, free), slopes)):
             first[i] = 0.9 * first[i] + 0.1 * slope
             second[i] = 0.999 * second[i] + 0.001 * slope * slope
             target -= rate * (first[i] / (1 - 0.9**step)) / (np.sqrt(second[i] / (1 - 0.999**step)) + 1e-8)
-        t[:] = np.maximum.accumulate(t)  # thresholds stay in order
     weights = np.zeros(PLACES, np.float32)
     weights[used] = w
-    return Model(weights, t)
+    return Model(weights, thresholds_of(free))
 
 
 def fit(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "text", sample: int = SAMPLE) -> Model | None:
