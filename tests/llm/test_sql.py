@@ -4,7 +4,7 @@ import duckdb
 import pytest
 
 from compare import connect, difference, oracle_rows, spark_rows
-from test_texts import PERSONAL, SECRETS
+from test_texts import ACCOUNTS, CONTEXTS, PERSONAL, SECRETS
 from tidemark.llm import queries
 from tidemark.llm.queries import ORACLE, QUERIES
 
@@ -20,7 +20,7 @@ def test_every_numbered_operator_has_a_query():
 
 @pytest.mark.parametrize("name", ["op3_secrets", "op5_personal_data", "op8_quality_rules", "op9_near_duplicates", "op13_fill_in_middle"])
 def test_query_equals_sql_on_made_up_texts(spark, monkeypatch, name):
-    texts = [*SECRETS, *PERSONAL, None, "", "a\n\na\nb", "x y z w v x y z w v x", "SHOUT LOUD!! " * 8]
+    texts = [*SECRETS, *PERSONAL, *CONTEXTS, *ACCOUNTS, None, "", "a\n\na\nb", "x y z w v x y z w v x", "SHOUT LOUD!! " * 8]
     rows = [(i, t) for i, t in enumerate(texts)]
     docs = spark.createDataFrame(rows, "doc_id long, text string")
     monkeypatch.setattr(queries, "read_table", lambda spark, folder, table: docs)

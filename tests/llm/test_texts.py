@@ -166,6 +166,32 @@ def test_accounts_before_capitals_and_digits(spark):
     assert all(texts[r.doc_id][s.start : s.end] == s.found for r in found for s in r.spans)
 
 
+CONTEXTS = {
+    "my number 123-45-6789 (SSN)": ["123-45-6789"],
+    "555-123-4567 is my mobile": ["555-123-4567"],
+    "555-123-4567 is it. mobile": [],
+    "555-123-4567 phone 555-123-4568": ["555-123-4568"],
+    "call 415-555-2671, order 415-555-2672": ["415-555-2671"],
+    "415-555-2671 " + "x" * 27 + " mobile": ["415-555-2671"],  # ends at 35 of 40
+    "415-555-2671 " + "x" * 33 + " mobile": [],
+    "DE89370400440532013000 is an example": [],
+    "DE89370400440532013000. An example": ["DE89370400440532013000"],
+    "415-555-2671\nmobile": [],
+}
+ACCOUNTS = [
+    "IBAN DE89370400440532013000 Please pay",
+    "bank DE89 3704 0044 0532 0130 00 GB82WEST12345698765432 Thanks",
+    "IBAN DE89 3704 0044 0532 0130 00 BIC COBADEFFXXX 2024 10",
+    "account GB82WEST12345698765432X",
+    "iban XDE89370400440532013000 \u00e9DE89370400440532013000 Bitte",
+]
+
+
+def test_context_on_both_sides(spark):
+    found = pii.personal_spans(frame(spark, list(CONTEXTS))).orderBy("doc_id").collect()
+    assert [[s.found for s in r.spans if s.kind in pii.OWN] for r in found] == list(CONTEXTS.values())
+
+
 def test_personal_data_is_masked(spark):
     docs = frame(spark, ["mail a@b.cd now", "clean", None])
     assert [r.text for r in pii.without_personal_data(docs).orderBy("doc_id").collect()] == ["mail [PII] now", "clean", None]

@@ -3,7 +3,9 @@
 Each kind has a pattern that proposes spans and a validator on the span itself
 (Luhn for cards, mod-97 for bank accounts, ranges for the rest). What is left
 gets a score: a start value by kind, more if a context word of the kind stands
-shortly before the span, less if a word stands there that speaks against it. The
+near the span, less if a word stands there that speaks against it. Near is what
+comes shortly before the span, and shortly behind it what comes before the clause
+ends, unless a number follows there, whose word it may be. The
 spans of the four base kinds are always reported; spans of the other kinds only
 if their score reaches the limit, so a bare ten-digit number is reported after
 "call" and not after "order".
@@ -34,15 +36,17 @@ PHONE = r"\+[0-9][\x20().0-9-]+[0-9]"
 # The method's own kinds.
 IBAN = r"(?<![A-Za-z0-9])[A-Z]{2}[0-9]{2}(?=(?:\x20?[A-Z0-9]){11})"  # where one may start
 IBAN_REST = range(30, 10, -1)  # characters that may follow, longest first
-# Registered lengths by country.
+# Registered lengths by country.
 IBAN_LENGTHS = {
-    c: int(part[:2])
-    for part in (
-        "15NO 16BE 18DKFIFKFOGLNLSD 19MKSI 20ATBAEEKZLTLUMNXK 21CHHRLILV 22BGBHCRDEGBGEIEMERSVA 23AEGIILIQOMSOTL "
-        "24ADCZESMDPKROSASESKTNVG 25LYPTST 26ISTR 27BIDJFRGRITMCMRSM 28ALAZBYCYDOGTHULBNIPLSV 29BREGPSQAUA 30JOKWMUYE "
-        "31MTSC 32LC 33RU"
-    ).split()
-    for c in (part[i : i + 2] for i in range(2, len(part), 2))
+    "AD": 24, "AE": 23, "AL": 28, "AT": 20, "AZ": 28, "BA": 20, "BE": 16, "BG": 22, "BH": 22, "BI": 27,
+    "BR": 29, "BY": 28, "CH": 21, "CR": 22, "CY": 28, "CZ": 24, "DE": 22, "DJ": 27, "DK": 18, "DO": 28,
+    "EE": 20, "EG": 29, "ES": 24, "FI": 18, "FK": 18, "FO": 18, "FR": 27, "GB": 22, "GE": 22, "GI": 23,
+    "GL": 18, "GR": 27, "GT": 28, "HR": 21, "HU": 28, "IE": 22, "IL": 23, "IQ": 23, "IS": 26, "IT": 27,
+    "JO": 30, "KW": 30, "KZ": 20, "LB": 28, "LC": 32, "LI": 21, "LT": 20, "LU": 20, "LV": 21, "LY": 25,
+    "MC": 27, "MD": 24, "ME": 22, "MK": 19, "MN": 20, "MR": 27, "MT": 31, "MU": 30, "NI": 28, "NL": 18,
+    "NO": 15, "OM": 23, "PK": 24, "PL": 28, "PS": 29, "PT": 25, "QA": 29, "RO": 24, "RS": 22, "RU": 33,
+    "SA": 24, "SC": 31, "SD": 18, "SE": 24, "SI": 19, "SK": 24, "SM": 27, "SO": 23, "ST": 25, "SV": 28,
+    "TL": 23, "TN": 24, "TR": 26, "UA": 29, "VA": 22, "VG": 24, "XK": 20, "YE": 30,
 }
 IBAN_WIDTH = 4 + 2 * 30 + 1  # code points that decide where one ends
 SSN = r"(?<![0-9-])[0-9]{3}-[0-9]{2}-[0-9]{4}(?![0-9-])"
@@ -57,7 +61,8 @@ OWN = {
 }
 KINDS = BASE_KINDS + list(OWN)
 FOR, AGAINST, LIMIT = 40, 40, 60
-CONTEXT = 40  # code points before a span in which context words count
+CONTEXT = 40  # code points on either side of a span in which context words count
+BEHIND = r"^[^0-9,;.!?\n\r]*+(?![0-9])"  # of those behind it: the rest of the clause, unless a digit is met first
 
 
 def digits(found: Column) -> Column:
@@ -144,8 +149,11 @@ def _score(text: Column, s: Column, kind: str) -> Column:
         text, F.greatest(s["start"] - CONTEXT, F.lit(0)).cast("int") + 1, F.least(s["start"], F.lit(CONTEXT)).cast("int")
     )
 
+    behind = F.regexp_extract(F.substring(text, s["end"].cast("int") + 1, F.lit(CONTEXT)), BEHIND, 0)
+
     def has(words: str) -> Column:
-        return before.rlike("(?:^|[^A-Za-z])(?:" + "|".join(either_case(w) for w in words.split("|")) + ")(?![A-Za-z])")
+        pattern = "(?:^|[^A-Za-z])(?:" + "|".join(either_case(w) for w in words.split("|")) + ")(?![A-Za-z])"
+        return before.rlike(pattern) | behind.rlike(pattern)
 
     return (
         F.lit(start) + F.when(has(words_for), FOR).otherwise(0) - F.when(has(words_against), AGAINST).otherwise(0)

@@ -6,6 +6,8 @@ a fitted classifier (op7) and the neighbours in a suffix order (op10).
 
 from __future__ import annotations
 
+from tidemark.llm.pii import IBAN_LENGTHS
+
 LOWER = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
 BLANK_WORD = r"[^\x20\x09-\x0D]+"
 PLAIN_WORD = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"
@@ -115,17 +117,24 @@ _MOD_97 = f"""list_reduce(list_transform(range(1, length({_MOVED}) + 1), lambda
     lambda a, v: (a * (CASE WHEN v > 9 THEN 100 ELSE 10 END) + v) % 97, CAST(0 AS BIGINT)) = 1"""
 
 
-def _own(kind: str, pattern: str, near: str, start: int, words_for: str, words_against: str, check: str = "true") -> str:
-    """A kind of the method: no character of ``near`` beside it, and a score of 60 with its context."""
+def _scored(rows: str, start: int, words_for: str, words_against: str) -> str:
+    """Of rows (rid, kind, t, s, e) those with a score of 60 with their context on both sides."""
 
     def has(words: str) -> str:
-        return f"regexp_matches(ctx, '(^|[^A-Za-z])({'|'.join(map(_either, words.split('|')))})($|[^A-Za-z])')"
+        pattern = f"'(^|[^A-Za-z])({'|'.join(map(_either, words.split('|')))})($|[^A-Za-z])'"
+        return f"(regexp_matches(ctx, {pattern}) OR regexp_matches(behind, {pattern}))"
 
     return f"""SELECT rid, kind, s, e FROM (
-    SELECT *, substr(t, CAST(greatest(s - 40, 0) + 1 AS BIGINT), CAST(least(s, 40) AS BIGINT)) AS ctx
-    FROM ({_spans(kind, pattern)}))
-  WHERE {near} AND {check}
-    AND {start} + CASE WHEN {has(words_for)} THEN 40 ELSE 0 END - CASE WHEN {has(words_against)} THEN 40 ELSE 0 END >= 60"""
+    SELECT *, CASE WHEN regexp_matches(after, '^[^0-9,;.!?\\n\\r]*[0-9]') THEN '' ELSE regexp_extract(after, '^[^0-9,;.!?\\n\\r]*') END AS behind
+    FROM (SELECT *, substr(t, CAST(greatest(s - 40, 0) + 1 AS BIGINT), CAST(least(s, 40) AS BIGINT)) AS ctx,
+            substr(t, CAST(e + 1 AS BIGINT), 40) AS after
+          FROM ({rows})))
+  WHERE {start} + CASE WHEN {has(words_for)} THEN 40 ELSE 0 END - CASE WHEN {has(words_against)} THEN 40 ELSE 0 END >= 60"""
+
+
+def _own(kind: str, pattern: str, near: str, start: int, words_for: str, words_against: str) -> str:
+    """A kind of the method: no character of ``near`` beside it, and a high score."""
+    return _scored(f"SELECT * FROM ({_spans(kind, pattern)}) WHERE {near}", start, words_for, words_against)
 
 
 _BEFORE = "(CASE WHEN s = 0 THEN '' ELSE substr(t, CAST(s AS BIGINT), 1) END)"
@@ -133,6 +142,9 @@ _AFTER = "substr(t, CAST(e + 1 AS BIGINT), 1)"
 _AFTER_2 = "substr(t, CAST(e + 1 AS BIGINT), 2)"
 _PART = r"0*(25[0-5]|2[0-4][0-9]|1[0-9][0-9]|[0-9]{1,2})"
 
+_IBAN_END = r"SELECT *, regexp_extract(rest, '^[A-Z]{{2}}[0-9]{{2}}(\x20?[A-Z0-9]){{{n}}}') AS found FROM iban_start"
+_REGISTERED = f"CASE substr(found, 1, 2) {' '.join(f"WHEN '{c}' THEN {n}" for c, n in IBAN_LENGTHS.items())} END"
+
 PERSONAL = f"""WITH {SOURCE}, base AS (
   SELECT rid, kind, s, e FROM ({_spans("email", r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+")})
   UNION ALL SELECT rid, kind, s, e FROM ({_spans("ip", r"[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)")})
@@ -141,8 +153,21 @@ PERSONAL = f"""WITH {SOURCE}, base AS (
     WHERE CASE WHEN length({_DIGITS}) BETWEEN 14 AND 19 THEN {_LUHN} ELSE false END
   UNION ALL SELECT rid, kind, s, e FROM ({_spans("phone", r"\+[0-9][\x20().0-9-]+[0-9]")})
     WHERE length({_DIGITS}) BETWEEN 10 AND 15
+), iban_start AS (
+  SELECT rid, t, s, substr(t, CAST(s + 1 AS BIGINT), 65) AS rest FROM ({_spans("iban", "[A-Z]{2}[0-9]{2}")})
+  WHERE NOT regexp_matches({_BEFORE}, '[A-Za-z0-9]')
+), iban_end AS (
+  SELECT * FROM ({" UNION ALL ".join(_IBAN_END.format(n=n) for n in range(11, 31))})
+  WHERE found <> '' AND NOT regexp_matches(substr(rest, length(found) + 1, 1), '[A-Za-z0-9]')
+), iban AS (
+  SELECT rid, t, s, s + length(found) AS e FROM iban_end WHERE {_MOD_97}
+  QUALIFY row_number() OVER (PARTITION BY rid, s ORDER BY length({_COMPACT}) = {_REGISTERED} DESC NULLS LAST, length(found) DESC) = 1
+), account AS (
+  SELECT rid, any_value(t) AS t, list_reduce(list([{{'s': s, 'e': e}}] ORDER BY s),
+    lambda a, x: CASE WHEN a[-1].e <= x[1].s THEN list_concat(a, x) ELSE a END) AS accounts
+  FROM iban GROUP BY rid
 ), own AS (
-  {_own("iban", r"[A-Z]{2}[0-9]{2}(\x20?[A-Z0-9]){11,30}", f"NOT regexp_matches({_BEFORE} || '|' || {_AFTER}, '[A-Za-z0-9]')", 70, "iban|account|bank|konto|compte|cuenta|transfer", "example|sample", f"length({_COMPACT}) BETWEEN 15 AND 34 AND {_MOD_97}")}
+  {_scored("SELECT rid, 'iban' AS kind, t, a.s AS s, a.e AS e FROM account, unnest(accounts) AS u(a)", 70, "iban|account|bank|konto|compte|cuenta|transfer", "example|sample")}
   UNION ALL {_own("ssn", "[0-9]{3}-[0-9]{2}-[0-9]{4}", f"NOT regexp_matches({_BEFORE} || '|' || {_AFTER}, '[0-9-]')", 40, "ssn|social|security", "order|invoice|part|serial|version")}
   UNION ALL {_own("local_phone", r"\(?[0-9]{3}\)?[\x20.-]?[0-9]{3}[\x20.-]?[0-9]{4}", f"NOT regexp_matches({_BEFORE}, '[0-9+.-]') AND NOT regexp_matches({_AFTER_2}, '^[0-9.-]?[0-9]')", 20, "phone|tel|call|mobile|cell|fax|telefon", "order|invoice|part|serial|item|id")}
 ), found AS (
