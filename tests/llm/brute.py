@@ -35,7 +35,7 @@ def secret_base(text):
     return out
 
 
-def random_base(text, classes, allowed, window=20):
+def random_base(text, classes, allowed, parts, window=20):
     out = []
     for m in re.finditer("[A-Za-z0-9+/_-]{20,}", text or ""):
         s = m[0]
@@ -43,9 +43,14 @@ def random_base(text, classes, allowed, window=20):
             continue
         for kind, pattern, bits in classes:
             if re.search(pattern, s):
+                taken = [m.span() for m in re.finditer(parts, s)]
                 best = max(
-                    -sum(c / window * math.log2(c / window) for c in collections.Counter(s[i : i + window]).values())
-                    for i in range(len(s) - window + 1)
+                    (
+                        -sum(c / window * math.log2(c / window) for c in collections.Counter(s[i : i + window]).values())
+                        for i in range(len(s) - window + 1)
+                        if all(end <= i or i + window <= start for start, end in taken)
+                    ),
+                    default=-1,
                 )
                 if best >= bits - 1e-9:
                     out.append((kind, *m.span()))

@@ -34,7 +34,7 @@ def plain_stages(docs, items):
 
 
 def masked(text):
-    spans = brute.secret_base(text) + brute.random_base(text, secrets.CLASSES, secrets.ALLOWED)
+    spans = brute.secret_base(text) + brute.random_base(text, secrets.CLASSES, secrets.ALLOWED, secrets.ALLOWED_PARTS)
     out, at = [], 0
     for _, start, end in sorted(spans, key=lambda s: s[1]):
         if start > at or not out:

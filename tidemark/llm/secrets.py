@@ -8,8 +8,10 @@ The window slides one character at a time; its character counts and the sum of
 leaves and the one that enters, never recounted. Sums are whole numbers (scaled
 by 2**20), so no rounding gathers on the way. The limit depends on the character
 class of the candidate. Allow-listed strings (identifiers in the standard
-8-4-4-4-12 form, placeholders, runs of the alphabet) are suppressed; spans of
-known forms never are.
+8-4-4-4-12 form, numbers) are suppressed, and so are windows that overlap an
+allowed part (words for placeholders, runs of the alphabet): a candidate such as
+``examples/<key>`` is still found by the windows of its key. Spans of known forms
+are never suppressed.
 
 Built-in functions only. NULL and empty texts have no spans. Repeated rows stay
 repeated, an empty table gives an empty table, other columns are left alone.
@@ -44,12 +46,9 @@ CLASSES = [
     ("entropy_alnum", "^([a-z]*[0-9][a-z0-9]*|[A-Z]*[0-9][A-Z0-9]*)$", 3.5),
     ("entropy_base64", "[0-9+/]", 3.8),
 ]
-# Strings that look random and are no secrets.
-ALLOWED = (
-    r"^[0-9a-fA-F]{8}-[0-9a-fA-F]{4}-[0-9a-fA-F]{4}-[0-9a-fA-F]{4}-[0-9a-fA-F]{12}$"
-    r"|^[0-9-]+$|[Ee][Xx][Aa][Mm][Pp][Ll][Ee]|[Pp][Ll][Aa][Cc][Ee][Hh][Oo][Ll][Dd][Ee][Rr]"
-    r"|[Xx]{6}|0123456789|[Aa][Bb][Cc][Dd][Ee][Ff][Gg][Hh]"
-)
+# Strings that look random and are no secrets, and parts of strings no window may overlap.
+ALLOWED = r"^[0-9a-fA-F]{8}-[0-9a-fA-F]{4}-[0-9a-fA-F]{4}-[0-9a-fA-F]{4}-[0-9a-fA-F]{12}$|^[0-9-]+$"
+ALLOWED_PARTS = "|".join([*map(either_case, ("example", "placeholder")), "[Xx]{6}", "0123456789", either_case("abcdefgh")])
 BASE_KINDS = ["assign", "access", "hex"]
 KINDS = BASE_KINDS + [c[0] for c in CLASSES]
 
@@ -106,9 +105,12 @@ def random_strings(text: Column) -> Column:
     """Spans of candidate strings whose entropy reaches the limit of their class."""
 
     def judged(s: Column) -> Column:
+        # Windows beside the allowed parts: those of the pieces between them.
+        pieces = F.filter(F.split(s["found"], ALLOWED_PARTS, -1), lambda p: F.length(p) >= WINDOW)
         kind = F.lit(None).cast("string")
         for name, pattern, bits in reversed(CLASSES):
-            high = F.when(most_spread(s["found"]) <= most_allowed(bits), F.lit(name))
+            spread = F.array_min(F.transform(pieces, most_spread))
+            high = F.when(spread <= most_allowed(bits), F.lit(name))
             kind = F.when(s["found"].rlike(pattern), high).otherwise(kind)
         return F.struct(kind.alias("kind"), s["start"], s["end"], s["found"])
 

@@ -89,13 +89,18 @@ SECRETS = f"""WITH {SOURCE}, known AS (
          WHEN regexp_matches(found, '^([a-z]*[0-9][a-z0-9]*|[A-Z]*[0-9][A-Z0-9]*)$') THEN 'entropy_alnum'
          WHEN regexp_matches(found, '[0-9+/]') THEN 'entropy_base64' END AS kind
   FROM ({_spans("candidate", "[A-Za-z0-9+/_-]{20,}")})
-  WHERE NOT regexp_matches(found, '^[0-9a-fA-F]{{8}}-[0-9a-fA-F]{{4}}-[0-9a-fA-F]{{4}}-[0-9a-fA-F]{{4}}-[0-9a-fA-F]{{12}}$|^[0-9-]+$|{_either("example")}|{_either("placeholder")}|[Xx]{{6}}|0123456789|{_either("abcdefgh")}')
+  WHERE NOT regexp_matches(found, '^[0-9a-fA-F]{{8}}-[0-9a-fA-F]{{4}}-[0-9a-fA-F]{{4}}-[0-9a-fA-F]{{4}}-[0-9a-fA-F]{{12}}$|^[0-9-]+$')
+), piece AS (
+  SELECT cid, p, pieces[p] AS piece
+  FROM (SELECT cid, kind, string_split_regex(found, '{_either("example")}|{_either("placeholder")}|[Xx]{{6}}|0123456789|{_either("abcdefgh")}') AS pieces FROM candidate),
+    unnest(range(1, len(pieces) + 1)) AS u(p)
+  WHERE kind IS NOT NULL AND length(pieces[p]) >= 20
 ), letters AS (
-  SELECT cid, w, substr(found, CAST(w + j AS BIGINT), 1) AS ch, count(*) AS n
-  FROM candidate, unnest(range(1, length(found) - 18)) AS u(w), unnest(range(0, 20)) AS v(j)
-  WHERE kind IS NOT NULL GROUP BY cid, w, ch
+  SELECT cid, p, w, substr(piece, CAST(w + j AS BIGINT), 1) AS ch, count(*) AS n
+  FROM piece, unnest(range(1, length(piece) - 18)) AS u(w), unnest(range(0, 20)) AS v(j)
+  GROUP BY cid, p, w, ch
 ), entropy AS (
-  SELECT cid, max(bits) AS bits FROM (SELECT cid, w, log2(20) - sum(n * log2(n)) / 20 AS bits FROM letters GROUP BY cid, w) GROUP BY cid
+  SELECT cid, max(bits) AS bits FROM (SELECT cid, p, w, log2(20) - sum(n * log2(n)) / 20 AS bits FROM letters GROUP BY cid, p, w) GROUP BY cid
 ), found AS (
   SELECT rid, kind, s, e FROM known
   UNION ALL
