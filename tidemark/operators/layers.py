@@ -142,6 +142,7 @@ def silver_report(clean: DataFrame) -> DataFrame:
 
 
 # --- Gold -----------------------------------------------------------------------
+# The names of the result columns are the stored schema of the Gold tables.
 
 
 def _purchase() -> Column:

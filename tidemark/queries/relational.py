@@ -269,10 +269,10 @@ def scl_11_case(spark, sf):
     return clicks(spark, sf).select("event_id", hour_bucket("event_hour").alias("hour_bucket"))
 
 
-@query("SELECT event_id, 'raw_clickstream_feed' AS source, true AS loaded, 1 AS one FROM events")
+@query("SELECT event_id, 'events_table' AS source, true AS loaded, 1 AS one FROM events")
 def scl_12_literals(spark, sf):
     return read_table(spark, sf, "events").select(
-        "event_id", F.lit("raw_clickstream_feed").alias("source"), F.lit(True).alias("loaded"), F.lit(1).alias("one")
+        "event_id", F.lit("events_table").alias("source"), F.lit(True).alias("loaded"), F.lit(1).alias("one")
     )
 
 
