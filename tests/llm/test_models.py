@@ -2,14 +2,18 @@
 
 import math
 import random
+from functools import reduce
 
 import numpy as np
 import public_tokenizers
 import pytest
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 import brute
 from tidemark.llm import bpe, brown, chat, grades, suffixes
 from tidemark.llm.queries import QUERIES
+from tidemark.operators.blocks import Limits
 
 
 def rows_of(df, *columns):
@@ -295,6 +299,70 @@ def test_tree_of_random_conversations(spark, tokenizer):
     check_tree(chat.PrefixTree(conversations(spark, rows), tokenizer), rows)
 
 
+def digests_of(tree, nodes=None):
+    rows = tree.digests(tree.nodes() if nodes is None else nodes).collect()
+    return {r.conv: (r.n_turns, r.turns_sha256, r.loss_chars, r.loss_sha256) for r in rows}
+
+
+def test_tree_in_blocks(spark, tokenizer):
+    # Conversations, trees and pieces are all cut into blocks of a few rows.
+    rng = random.Random(16)
+    rows = [(c, t, rng.choice(["user", "assistant"]), rng.choice("ab")) for c in range(60) for t in range(rng.randrange(1, 25))]
+    rows += [(c, t, "user", str(t) if t < 30 + c else f"{c} {t}") for c in (100, 101, 102) for t in range(60)]
+    tree = chat.PrefixTree(conversations(spark, rows).repartition(3), tokenizer, limits=Limits(0, 4))
+    check_tree(tree, rows)
+    assert digests_of(tree) == brute.chat(rows)
+
+
+def test_reading_back_goes_through_the_packed_sequence(spark, tokenizer):
+    tree = chat.PrefixTree(conversations(spark, CHATS), tokenizer)
+    nodes = tree.nodes().cache()
+    want = brute.chat(CHATS)
+    assert digests_of(tree, nodes) == want
+    # Without the intervals of ancestors a conversation does not begin at position 0.
+    blind = nodes.withColumn("attends", F.slice("attends", 1, 0))
+    with pytest.raises(Exception, match="position"):
+        digests_of(tree, blind)
+    shifted = nodes.withColumn("position_start", F.col("position_start") + F.when(F.col("depth") == 2, 1).otherwise(0))
+    with pytest.raises(Exception, match="position"):
+        digests_of(tree, shifted)
+    # Intervals that are one turn off, and the same number of tokens long, show in the digests.
+    said = {1: [("user", "x"), ("user", "y"), ("user", "z")], 2: [("user", "x"), ("user", "q"), ("user", "r")]}
+    rows = [(c, t, *turn) for c, turns in said.items() for t, turn in enumerate(turns)]
+    tree = chat.PrefixTree(conversations(spark, rows), tokenizer)
+    nodes = tree.nodes().cache()
+    assert digests_of(tree, nodes) == brute.chat(rows)
+    size = nodes.first().n_tokens
+    assert {n.n_tokens for n in nodes.collect()} == {size}
+    late = nodes.filter((F.col("depth") == 2) & (F.size("attends") > 1)).first()
+    own = F.struct(F.lit(0).cast("long").alias("start"), F.lit(2 * size).cast("long").alias("end"))
+    swapped = nodes.withColumn("attends", F.when(F.col("node") == late.node, F.array(own)).otherwise(F.col("attends")))
+    got, want = digests_of(tree, swapped), brute.chat(rows)
+    assert [got[c] == want[c] for c in sorted(want)].count(False) == 1
+
+
+def test_a_very_long_conversation(spark, tokenizer):
+    n = 100_000
+    turn = F.col("id")
+    role = F.when(turn % 2 == 0, "user").otherwise("assistant")
+    one = spark.range(n).select(F.lit(7).cast("long").alias("conv_id"), turn.alias("turn"), role.alias("role"), turn.cast("string").alias("text"))
+    # Others leave it at its beginning, in its midst and at its end.
+    others = [one.filter(turn < k).withColumn("conv_id", F.lit(k).cast("long")) for k in (1, n // 2, n)]
+    apart = one.filter(F.col("turn") < n // 2).withColumn("conv_id", F.lit(8).cast("long"))
+    apart = apart.withColumn("text", F.when(F.col("turn") < n // 4, F.col("text")).otherwise(F.concat(F.lit("b"), "text")))
+    rows = reduce(DataFrame.unionByName, [*others, apart], one)
+    tree = chat.PrefixTree(rows.repartition(6), tokenizer, limits=Limits(0, 20_000))
+    assert digests_of(tree) == brute.chat(rows_of(rows, "conv_id", "turn", "role", "text"))
+    assert tree.tokens.count() == n + n // 4
+
+
+def test_chats_with_columns_of_the_same_names(spark, tokenizer):
+    rows = conversations(spark, CHATS)
+    names = ["conv", "node", "place", "tree", "depth", "parent", "row", "at", "own", "part0", "root0", "stretch", "c", "n_tokens"]
+    clash = rows.select("*", *(F.lit(i).alias(n) for i, n in enumerate(names)))
+    assert digests_of(chat.PrefixTree(clash, tokenizer)) == brute.chat(CHATS)
+
+
 def test_op6_against_plain(spark, folder):
     rows = rows_of(spark.read.parquet(f"{folder}/conversations.parquet"), "conv_id", "turn", "role", "text")
     says = "</s>[INST] ok [/INST]"
@@ -306,6 +374,7 @@ def test_op6_against_plain(spark, folder):
 def test_no_conversations(spark, tokenizer):
     tree = chat.PrefixTree(conversations(spark, []), tokenizer)
     assert tree.nodes().count() == 0 and tree.read_back(tree.nodes()).count() == 0
+    assert digests_of(tree) == {}
 
 
 # --- repeated passages ---------------------------------------------------------------------

@@ -26,6 +26,7 @@ from tidemark.llm import (
     suffixes,
 )
 from tidemark.sources.readers import read_table
+from tidemark.sources.scratch import frozen
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -116,18 +117,8 @@ def op6_chat_prefix_tree(spark: SparkSession, folder: str) -> DataFrame:
         F.lit(says).alias("text"),
     )
     tree = chat.PrefixTree(turns.unionByName(one), tokenizer_of(spark))
-    read = tree.read_back(tree.nodes())
-    said = F.array_join(F.transform("turns", lambda t: F.concat(t["role"], F.lit("\n"), t["text"], F.lit("\n"))), "")
-    loss = F.array_join(F.transform("turns", lambda t: t["loss"]), "")
-    total = lambda field: F.aggregate("turns", F.lit(0).cast("long"), lambda acc, t: acc + t[field])
-    return read.select(
-        F.col("conv").alias("conv_id"),
-        F.size("turns").cast("long").alias("n_turns"),
-        sha256(said).alias("turns_sha256"),
-        F.length(loss).cast("long").alias("loss_chars"),
-        sha256(loss).alias("loss_sha256"),
-        total("chars").alias("formatted_chars"),
-    )
+    # The packed table is written: it is the output that conversations are read back from.
+    return tree.digests(frozen(tree.nodes(), "chat-nodes")).withColumnRenamed("conv", "conv_id")
 
 
 @query()
