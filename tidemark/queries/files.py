@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from tidemark.functions.money import money_sum
 from tidemark.operators.relational import stacked
 from tidemark.queries.registry import CATEGORY_DIM, CLICKS, RECORDS, money, query
-from tidemark.sources import readers, sinks
+from tidemark.sources import layout, readers, sinks
 from tidemark.sources.clicks import category_dimension, clicks, paid_purchases, raw_records
 from tidemark.sources.schemas import DEVICES, RAW_EVENT
 from tidemark.sources.scratch import fresh_dir
@@ -158,6 +158,17 @@ def snk_05_by_date_and_country(spark, sf):
     return readers.read_required(spark, path).groupBy("event_date", "country").agg(F.count(F.lit(1)).alias("n"))
 
 
+@query(f"{CLICKS} SELECT event_date, count(*) AS n, count(DISTINCT event_id) AS events, true AS within_bound FROM clicks GROUP BY event_date")
+def snk_05_guarded(spark, sf):
+    # A folder for each event would be too many; the layout falls back to dates.
+    path = fresh_dir(spark, "guarded")
+    layout.write_guarded(_trip(spark, sf), path, ["event_date", "event_id"])
+    within = layout.files(spark, path).select("folder").distinct().count() <= layout.PARTITIONS
+    return readers.read_required(spark, path).groupBy("event_date").agg(
+        F.count(F.lit(1)).alias("n"), F.count_distinct("event_id").alias("events"), F.lit(within).alias("within_bound")
+    )
+
+
 @query(f"{CLICKS} SELECT count(*) AS n_rows, true AS within_bound FROM clicks")
 def snk_06_few_files(spark, sf):
     rows = _trip(spark, sf)
@@ -220,6 +231,21 @@ def lay_01_layouts(spark, sf):
     )
 
 
+@query(f"{CLICKS} SELECT event_date, count(*) AS n, {money('total_amount')} AS revenue, true AS full_files FROM clicks GROUP BY event_date")
+def lay_01_packed(spark, sf):
+    # Every task writes to every folder; then the files of a folder are packed.
+    loose, to = fresh_dir(spark, "loose"), fresh_dir(spark, "packed")
+    _trip(spark, sf).repartition(8).write.partitionBy("event_date").parquet(loose)
+    path = layout.packed(readers.read_required(spark, loose), loose, to, ["event_date"])
+    # No folder could do with two files less.
+    needed = F.ceil(F.sum("bytes") / sinks.FILE_BYTES) + 1
+    full = layout.files(spark, path).groupBy("folder").agg((F.count(F.lit(1)) <= needed).alias("full"))
+    full_files = full.agg(F.bool_and("full")).first()[0]
+    return readers.read_required(spark, path).groupBy("event_date").agg(
+        F.count(F.lit(1)).alias("n"), money_sum("total_amount").alias("revenue"), F.lit(full_files).alias("full_files")
+    )
+
+
 @query(f"{CLICKS} SELECT category, {money('total_amount')} AS revenue FROM clicks WHERE event_type = 'purchase' GROUP BY category")
 def lay_02_pruned_columns(spark, sf):
     narrow = clicks(spark, sf).select("event_type", "category", "total_amount")
