@@ -49,6 +49,113 @@ def test_exchange_finds_classes():
     assert not set(classes[1 : n + 1 : 2]) & set(classes[2 : n + 1 : 2])
 
 
+def stream_cells(stream, classes, n):
+    """Class bigrams, counts (word, side, class) and self-pairs of a stream of word numbers."""
+    c, table = classes[stream], np.zeros((brown.TOTAL, brown.TOTAL))
+    np.add.at(table, (c[:-1], c[1:]), 1)
+    counts = np.zeros((n + 1, 2, brown.TOTAL), np.int64)
+    np.add.at(counts, (stream[1:], 0, c[:-1]), 1)
+    np.add.at(counts, (stream[:-1], 1, c[1:]), 1)
+    beside = np.bincount(stream[1:][stream[1:] == stream[:-1]], minlength=n + 1)
+    return table, counts, beside
+
+
+def test_gains_are_exact():
+    """Each gain is the change of the likelihood that counting all bigrams anew gives, for words that follow themselves too."""
+    rng = np.random.default_rng(4)
+    n = 12
+    stream = np.concatenate([[0], np.repeat(rng.integers(1, n + 1, 600), rng.integers(1, 4, 600)), [0]])
+    classes = brown.start_classes(n)
+    classes[1 : n + 1] = 1 + rng.integers(0, 5, n)
+    table, counts, beside = stream_cells(stream, classes, n)
+    assert beside[1:].min() > 0
+    for w in range(1, n + 1):
+        a, after, before = classes[w], counts[w, 0].astype(float), counts[w, 1].astype(float)
+        after[a] -= beside[w]
+        before[a] -= beside[w]
+        without = table.copy()
+        without[:, a] -= after
+        without[a, :] -= before
+        without[a, a] -= beside[w]
+        assert without.min() >= 0
+        got = brown.gains(after, before, beside[w], without)
+        want = []
+        for to in range(1, 1 + brown.CLASSES):
+            other = classes.copy()
+            other[w] = to
+            want.append(brown.likelihood(stream_cells(stream, other, n)[0]))
+        assert np.allclose(got - got[a - 1], np.array(want) - want[a - 1], atol=1e-6)
+
+
+def test_the_likelihood_never_falls(spark, folder, monkeypatch):
+    texts = [r.text for r in spark.read.parquet(f"{folder}/documents.parquet").select("text").collect()]
+    words = brown.most_frequent(brown.word_counts(spark.createDataFrame([(t,) for t in texts], "text string")).filter("word != ''"), 120)
+    words = [r.word.encode() for r in words]
+    numbers = brown.Numbers(len(words), words)
+    lines = [numbers.of(brown.tokens(t)) for t in texts]
+    numbered = spark.createDataFrame([(x.tobytes(),) for x in lines], "numbers binary").repartition(3)
+    pairs = brown._pairs(numbered)
+    stream = np.concatenate([[0], *lines]).astype(np.int64)
+    want = {}
+    for pair in zip(stream[:-1].tolist(), stream[1:].tolist()):
+        want[pair] = want.get(pair, 0) + 1
+    # Batches begin with the end token, which every text before them ends with.
+    assert {(r.pair >> 16, r.pair & 0xFFFF): r.n for r in pairs.collect()} == want
+    monkeypatch.setattr(brown, "BLOCK", 40)
+    monkeypatch.setattr(brown, "TOLERANCE", 0)
+    classes, bigrams, rise = brown.clustered(pairs, len(words))
+    assert len(rise) > 3 and all(x < y for x, y in zip(rise, rise[1:]))
+    table, counts, beside = stream_cells(stream, classes, len(words) + brown.FORMS)
+    assert (bigrams == table).all() and math.isclose(rise[-1], brown.likelihood(table))
+    # The end token and the forms stay where they are, and no word alone would raise the likelihood by moving.
+    assert classes[0] == 0 and (classes[len(words) + 1 :] == brown.start_classes(len(words))[len(words) + 1 :]).all()
+    for w in range(1, len(words) + 1):
+        _, gained = brown.exchanged(counts[w : w + 1], beside[w : w + 1], classes[w : w + 1], table)
+        assert gained[0] < 1e-3
+    # A number of sweeps is a bound.
+    assert brown.clustered(pairs, len(words), 2)[2] == rise[:3] and brown.clustered(pairs, len(words), 0)[2] == rise[:1]
+
+
+def test_scores_against_plain(spark, folder, monkeypatch):
+    """Scores by the formula of the module, over classes of a fitted model, word by word."""
+    docs = spark.read.parquet(f"{folder}/documents.parquet").select("doc_id", "text")
+    monkeypatch.setattr(brown, "HELD_COUNTS", 700)
+    train = [brown.tokens(r.text) for r in docs.filter("doc_id % 2 = 0").collect()]
+    model = brown.fit(docs.filter("doc_id % 2 = 0").select("text"), lexicon=300, sweeps=2)
+    lexicon = {w: int(model.classes[1 + i]) for i, w in enumerate(model.lexicon)}
+    in_class = lambda w: 0 if w == b"" else lexicon.get(w, 1 + brown.CLASSES + brown.form(w))
+    counts, seen, kind_tokens, kind_words = {}, np.zeros((brown.TOTAL, brown.TOTAL)), np.zeros(brown.TOTAL), np.zeros(brown.TOTAL)
+    for words in train:
+        last = 0
+        for w in [*words, b""]:
+            counts[w] = counts.get(w, 0) + 1
+            seen[last, in_class(w)] += 1
+            last = in_class(w)
+    for w, n in counts.items():
+        kind_tokens[in_class(w)] += n
+        kind_words[in_class(w)] += 1
+    own = (seen.sum(0) + 1) / (seen.sum() + brown.TOTAL)
+    kinds = (seen > 0).sum(1)
+
+    def plain(text):
+        total, last = 0.0, 0
+        for w in [*brown.tokens(text), b""]:
+            c, n = in_class(w), counts.get(w, 0)
+            p = own[c] if not seen[last].any() else (seen[last, c] + kinds[last] * own[c]) / (seen[last].sum() + kinds[last])
+            if w in lexicon:
+                p *= n / kind_tokens[c]
+            elif w:
+                p *= (n + 1) / (kind_tokens[c] + kind_words[c] + 1)
+            total, last = total + math.log10(p), c
+        return total
+
+    got = {r.doc_id: r.score for r in brown.scored(docs, model, ["doc_id"], docs["text"]).collect()}
+    texts = {r.doc_id: r.text for r in docs.collect()}
+    assert got.keys() == texts.keys()
+    for i, text in texts.items():
+        assert math.isclose(got[i], plain(text), rel_tol=1e-9)
+
+
 def test_numbers_forget_and_keep():
     numbers = brown.Numbers(2, [b"the", b"of", b"and"], keep=3)
     words = [b"the", b"a1", b"\xc3\xa9t\xc3\xa9", b"of", b"zzz", b"!!", b"the", b"\xff"] * 3

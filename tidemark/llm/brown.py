@@ -14,13 +14,18 @@ most. All other words, also those that training never saw, have a class by their
 form: the range of their letters and their last letter. Both kinds of classes
 are conditioned on and predicted alike.
 
-One sweep of the exchange is one pass over the training texts, which were turned
-into arrays of 16-bit word numbers before. Tasks count how often each word
-follows and precedes each class, the counts are summed cell by cell, and each
-block of words moves its words one after the other against its own copy of the
-class bigrams, which it updates after each move; moves of other blocks are seen
-from the next sweep on. What reaches the driver is the lexicon, its classes and
-the class bigrams, all of a size that the parameters fix.
+The training texts are read once for the exchange: they become counts of pairs of
+neighbouring word numbers. In a sweep, tasks sum from these how often each word
+follows and precedes each class and itself, and each block of words moves its words
+one after the other against its own copy of the class bigrams, by the exact change
+of the likelihood there. As blocks do not see each other's moves, the moves of a
+sweep are taken together only if the likelihood of all pairs rises; otherwise the
+half of them that gains most is tried, and so on; where no part raises it, each word
+is asked for its move alone, and the halving ends at the latest with the one that
+gains most. So the likelihood never falls. Sweeps end when none raises it by more
+than ``TOLERANCE`` of itself. What reaches
+the driver is the lexicon, its classes and the class bigrams, all of a size that
+the parameters fix.
 
 Smoothing. A class bigram probability is mixed with the class's own probability
 (Witten-Bell: by the number of distinct followers). A word's probability in a
@@ -59,7 +64,7 @@ from tidemark.sources.scratch import frozen
 
 LEXICON = 8_192  # words at most, the most frequent ones
 CLASSES = 32
-SWEEPS = 3
+TOLERANCE = 1e-5  # share of the likelihood by which a sweep must raise it for another one to follow
 BLOCK = 512  # words that one task moves
 # So many words, the most frequent ones, whose counts every scoring task holds besides the lexicon and
 # the end; the counts of all others are joined.
@@ -170,42 +175,61 @@ def start_classes(n_lexicon: int) -> np.ndarray:
     return np.concatenate([[0], lexicon, 1 + CLASSES + np.arange(FORMS)]).astype(np.int64)
 
 
-def _cells(numbered: DataFrame, classes: np.ndarray, n_lexicon: int) -> DataFrame:
-    """(cell, n): how often each lexicon word follows and precedes each class, and the class bigrams.
+WIDTH = 2 * TOTAL + 1  # cells of a word: after each class, before each class, beside itself
 
-    Cells of word ``w`` are ``2 w TOTAL`` on (after a class, then before a class);
-    behind the last word come the class bigrams. A task sends each of its cells
-    once, so what is shuffled does not depend on the length of texts.
+
+def _pairs(numbered: DataFrame) -> DataFrame:
+    """(pair, n): how often each word number is followed by each other, as ``first * 2**16 + second``.
+
+    A task sends each pair once for every batch of texts. There are at most as many
+    pairs as the square of the lexicon, whatever the length of the texts.
     """
-    name, shared = uuid.uuid4().hex, numbered.sparkSession.sparkContext.broadcast(classes)
-    size = n_lexicon + 1
 
     def count(batches):
-        of = held(name, lambda: shared.value)
-        counts = np.zeros(size * 2 * TOTAL + TOTAL * TOTAL, np.int64)
-        words, bigrams = counts[: size * 2 * TOTAL].reshape(size, 2, TOTAL), counts[size * 2 * TOTAL :]
         for batch in batches:
             column = batch.column(0)
             if not len(column):
                 continue
             # Texts end with the end token, which also stands before the first word of the next.
             stream = np.frombuffer(b"\0\0" + b"".join(column.to_pylist()), np.uint16).astype(np.int64)
-            c = of[stream]
-            bigrams += np.bincount(c[:-1] * TOTAL + c[1:], minlength=TOTAL * TOTAL)
-            for side, (word, other) in enumerate(((stream[1:], c[:-1]), (stream[:-1], c[1:]))):
+            pairs, counts = np.unique((stream[:-1] << 16) + stream[1:], return_counts=True)
+            yield pa.RecordBatch.from_arrays([pa.array(pairs, pa.int64()), pa.array(counts, pa.int64())], names=["pair", "n"])
+
+    counted = numbered.select("numbers").mapInArrow(count, "pair long, n long")
+    return frozen(counted.groupBy("pair").agg(F.sum("n").alias("n")), "brown-pairs")
+
+
+def _cells(pairs: DataFrame, classes: np.ndarray, n_lexicon: int, bigrams_only: bool = False) -> DataFrame:
+    """(cell, n): how often each lexicon word follows and precedes each class, and itself, and the class bigrams.
+
+    Cells of word ``w`` are ``w * WIDTH`` on; behind the last word come the class
+    bigrams. A task sends each of its cells once.
+    """
+    name, shared = uuid.uuid4().hex, pairs.sparkSession.sparkContext.broadcast(classes)
+    size = 0 if bigrams_only else n_lexicon + 1
+
+    def count(batches):
+        of = held(name, lambda: shared.value)
+        counts = np.zeros(size * WIDTH + TOTAL * TOTAL, np.int64)
+        for batch in batches:
+            pair, n = batch.column(0).to_numpy(), batch.column(1).to_numpy()
+            first, second = pair >> 16, pair & 0xFFFF
+            a, b = of[first], of[second]
+            np.add.at(counts, size * WIDTH + a * TOTAL + b, n)
+            for word, side in ((second, a), (first, TOTAL + b), (np.where(first == second, first, size), 2 * TOTAL)):
                 known = word < size
-                found = np.bincount(word[known] * TOTAL + other[known], minlength=size * TOTAL)
-                words[:, side] += found.reshape(size, TOTAL)
+                np.add.at(counts, (word * WIDTH + side)[known], n[known])
         cells = np.flatnonzero(counts)
-        yield pa.RecordBatch.from_arrays([pa.array(cells, pa.int64()), pa.array(counts[cells], pa.int64())], names=["cell", "n"])
+        at = np.where(cells < size * WIDTH, cells, cells - size * WIDTH + (n_lexicon + 1) * WIDTH)
+        yield pa.RecordBatch.from_arrays([pa.array(at, pa.int64()), pa.array(counts[cells], pa.int64())], names=["cell", "n"])
 
-    counted = numbered.select("numbers").mapInArrow(count, "cell long, n long")
-    return frozen(counted.groupBy("cell").agg(F.sum("n").alias("n")), "brown-cells")
+    counted = pairs.select("pair", "n").mapInArrow(count, "cell long, n long").groupBy("cell").agg(F.sum("n").alias("n"))
+    return counted if bigrams_only else frozen(counted, "brown-cells")
 
 
 def _bigrams(cells: DataFrame, n_lexicon: int) -> np.ndarray:
     """The class bigrams, TOTAL x TOTAL, on the driver."""
-    first = (n_lexicon + 1) * 2 * TOTAL
+    first = (n_lexicon + 1) * WIDTH
     out = np.zeros(TOTAL * TOTAL, np.int64)
     for cell, n in cells.filter(F.col("cell") >= first).collect():
         out[cell - first] = n
@@ -216,55 +240,123 @@ def _xlogx(x: np.ndarray) -> np.ndarray:
     return np.where(x > 0, x * np.log(np.maximum(x, 1e-300)), 0.0)
 
 
-def moved(counts: np.ndarray, classes: np.ndarray, bigrams: np.ndarray) -> np.ndarray:
-    """New classes of a block of words after one exchange sweep.
+def likelihood(bigrams: np.ndarray) -> float:
+    """What the classes change of the log-likelihood: ``x log x`` over the bigrams less the same over both margins."""
+    table = bigrams.astype(float)
+    return float(_xlogx(table).sum() - _xlogx(table.sum(0)).sum() - _xlogx(table.sum(1)).sum())
+
+
+def gains(after: np.ndarray, before: np.ndarray, beside: float, table: np.ndarray) -> np.ndarray:
+    """Change of the likelihood when a word joins each class in ``CHOICE``, but for a term that is the same for all.
+
+    ``table`` has no bigram of the word. ``after`` and ``before`` count the other words'
+    classes on its left and right, ``beside`` the word next to itself.
+    """
+    columns, rows = table[:, CHOICE], table[CHOICE].T
+    left, right = _xlogx(columns + after[:, None]) - _xlogx(columns), _xlogx(rows + before[:, None]) - _xlogx(rows)
+    # The cell of a class with itself gets both sides, once.
+    own, at = np.arange(1, 1 + CLASSES), np.arange(CLASSES)
+    both = table[own, own] + after[CHOICE] + before[CHOICE] + beside
+    gain = left.sum(0) + right.sum(0) - left[own, at] - right[own, at] + _xlogx(both) - _xlogx(table[own, own])
+    # Other words stand before and behind this one whatever its class.
+    margin = table.sum(1)[CHOICE] + after[CHOICE]
+    gain -= _xlogx(margin + before.sum() + beside) - _xlogx(margin)
+    margin = table.sum(0)[CHOICE] + before[CHOICE]
+    return gain - _xlogx(margin + after.sum() + beside) + _xlogx(margin)
+
+
+CHOICE = slice(1, 1 + CLASSES)
+
+
+def exchanged(
+    counts: np.ndarray, beside: np.ndarray, classes: np.ndarray, bigrams: np.ndarray, alone: bool = False
+) -> tuple[np.ndarray, np.ndarray]:
+    """New classes of a block of words after one exchange sweep, and what each word gained by its move.
 
     ``counts`` is (words, 2, TOTAL): how often each word follows and precedes each
-    class. The likelihood of a classing is the sum of ``x log x`` over the class
-    bigrams less the same over both margins.
+    class, ``beside`` how often it follows itself. With ``alone`` each word moves as if
+    no other did.
     """
-    table, out = bigrams.astype(float), classes.copy()
-    choice = slice(1, 1 + CLASSES)
+    table, out, gained = bigrams.astype(float), classes.copy(), np.zeros(len(classes))
     for w in range(len(out)):
-        after, before, a = counts[w, 0].astype(float), counts[w, 1].astype(float), out[w]
+        after, before, itself, a = counts[w, 0].astype(float), counts[w, 1].astype(float), float(beside[w]), out[w]
         if not after.any():
             continue
+        after[a] -= itself
+        before[a] -= itself
         table[:, a] -= after
         table[a, :] -= before
-        np.maximum(table, 0, out=table)  # a word next to itself is taken out twice
-        rows, columns = table.sum(1), table.sum(0)
-        gain = (_xlogx(table[:, choice] + after[:, None]) - _xlogx(table[:, choice])).sum(0)
-        gain += (_xlogx(table[choice] + before[None, :]) - _xlogx(table[choice])).sum(1)
-        gain -= _xlogx(rows[choice] + before.sum()) - _xlogx(rows[choice])
-        gain -= _xlogx(columns[choice] + after.sum()) - _xlogx(columns[choice])
+        table[a, a] -= itself
+        # Neighbours of the same block may have moved since they were counted; their old cells may be short.
+        gain = gains(after, before, itself, np.maximum(table, 0))
         best = int(np.argmax(gain))
-        out[w] = 1 + best if gain[best] > gain[a - 1] + 1e-9 else a
-        table[:, out[w]] += after
-        table[out[w], :] += before
-    return out
+        gained[w] = gain[best] - gain[a - 1]
+        if gained[w] > 1e-6:
+            out[w] = 1 + best
+        to = a if alone else out[w]
+        table[:, to] += after
+        table[to, :] += before
+        table[to, to] += itself
+    return out, gained
 
 
-def _sweep(cells: DataFrame, classes: np.ndarray, bigrams: np.ndarray, n_lexicon: int) -> np.ndarray:
-    """Classes after one sweep: a task for each block of words."""
+def moved(counts: np.ndarray, classes: np.ndarray, bigrams: np.ndarray) -> np.ndarray:
+    """``exchanged`` for words that never follow themselves: the new classes alone."""
+    return exchanged(counts, np.zeros(len(classes)), classes, bigrams)[0]
+
+
+def _sweep(cells: DataFrame, classes: np.ndarray, bigrams: np.ndarray, n_lexicon: int, alone: bool) -> list[tuple[int, int]]:
+    """(word number, new class) of the words that move in one sweep, those that gain most first: a task for each block."""
 
     def move(block):
         cell, n = block.column("cell").to_numpy(), block.column("n").to_numpy()
-        first = int(cell.min()) // (2 * TOTAL * BLOCK) * BLOCK
+        first = int(cell.min()) // (WIDTH * BLOCK) * BLOCK
         size = min(BLOCK, n_lexicon + 1 - first)
-        counts = np.zeros(size * 2 * TOTAL, np.int64)
-        counts[cell - first * 2 * TOTAL] = n
-        counts = counts.reshape(size, 2, TOTAL)
+        counts = np.zeros(size * WIDTH, np.int64)
+        counts[cell - first * WIDTH] = n
+        counts = counts.reshape(size, WIDTH)
         skip = 1 if first == 0 else 0  # the end token stays in its class
-        new = moved(counts[skip:], classes[first + skip : first + size], bigrams)
-        numbers = np.arange(first + skip, first + size)
-        return pa.table({"number": pa.array(numbers, pa.int64()), "class": pa.array(new, pa.int64())})
+        old, counts = classes[first + skip : first + size], counts[skip:]
+        new, gained = exchanged(counts[:, : 2 * TOTAL].reshape(-1, 2, TOTAL), counts[:, -1], old, bigrams, alone)
+        went = np.flatnonzero(new != old)
+        numbers = [pa.array(went + first + skip, pa.int64()), pa.array(new[went], pa.int64()), pa.array(gained[went], pa.float64())]
+        return pa.table(numbers, names=["number", "class", "gained"])
+
+    words = cells.filter(F.col("cell") < (n_lexicon + 1) * WIDTH)
+    block = F.floor(F.col("cell") / (WIDTH * BLOCK)).alias("block")
+    moves = words.groupBy(block).applyInArrow(move, "number long, class long, gained double").collect()
+    return [(r["number"], r["class"]) for r in sorted(moves, key=lambda r: (-r["gained"], r["number"]))]
+
+
+def clustered(pairs: DataFrame, n_lexicon: int, sweeps: int | None = None) -> tuple[np.ndarray, np.ndarray, list[float]]:
+    """Classes of all word numbers, their bigrams, and the likelihood after each sweep that was taken.
 
-    words = cells.filter(F.col("cell") < (n_lexicon + 1) * 2 * TOTAL)
-    block = F.floor(F.col("cell") / (2 * TOTAL * BLOCK)).alias("block")
-    out = classes.copy()
-    for number, c in words.groupBy(block).applyInArrow(move, "number long, class long").collect():
-        out[number] = c
-    return out
+    Without a number of ``sweeps`` they go on until the likelihood stops rising.
+    """
+    classes = start_classes(n_lexicon)
+    cells = _cells(pairs, classes, n_lexicon)
+    bigrams = _bigrams(cells, n_lexicon)
+    rise = [likelihood(bigrams)]
+    while sweeps is None or len(rise) <= sweeps:
+        better = False
+        for alone in (False, True):
+            moves = [] if better else _sweep(cells, classes, bigrams, n_lexicon, alone)
+            while moves and not better:
+                trial = classes.copy()
+                numbers, to = zip(*moves)
+                trial[list(numbers)] = to
+                table = _bigrams(_cells(pairs, trial, n_lexicon, bigrams_only=True), n_lexicon)
+                better = likelihood(table) > rise[-1]
+                moves = moves[: len(moves) // 2]
+        if not better:
+            break
+        classes, bigrams = trial, table
+        rise.append(likelihood(table))
+        if rise[-1] - rise[-2] <= TOLERANCE * abs(rise[-2]):
+            break
+        if sweeps is None or len(rise) <= sweeps:
+            cells = _cells(pairs, classes, n_lexicon)
+    return classes, bigrams, rise
 
 
 # --- the model ------------------------------------------------------------------------
@@ -302,7 +394,7 @@ def number_words(texts: DataFrame, lexicon: int, frequent: list[bytes]) -> DataF
     return texts.select(numbered(F.col("text")).alias("numbers"))
 
 
-def fit(texts: DataFrame, lexicon: int = LEXICON, sweeps: int = SWEEPS) -> Model:
+def fit(texts: DataFrame, lexicon: int = LEXICON, sweeps: int | None = None) -> Model:
     """A model of the texts (column ``text``)."""
     counts = frozen(word_counts(texts), "brown-counts")
     total, distinct = counts.agg(F.coalesce(F.sum("n"), F.lit(0)), F.count(F.lit(1))).first()
@@ -317,11 +409,8 @@ def fit(texts: DataFrame, lexicon: int = LEXICON, sweeps: int = SWEEPS) -> Model
     held_counts |= {END_WORD.encode(): r.n for r in counts.filter(F.col("word") == END_WORD).collect()}
     numbered = frozen(number_words(texts, len(words), frequent), "brown-numbers")
 
-    classes = start_classes(len(words))
-    for _ in range(sweeps):
-        cells = _cells(numbered, classes, len(words))
-        classes = _sweep(cells, classes, _bigrams(cells, len(words)), len(words))
-    bigrams = _bigrams(_cells(numbered, classes, len(words)), len(words)).astype(float)
+    classes, bigrams, _ = clustered(_pairs(numbered), len(words), sweeps)
+    bigrams = bigrams.astype(float)
 
     tokens_of, distinct_of = np.zeros(FORMS), np.zeros(FORMS)
     others = counts.filter(F.col("word") != END_WORD).groupBy(form_of(F.col("word")).alias("form"))
