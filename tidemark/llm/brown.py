@@ -196,11 +196,22 @@ def _pairs(numbered: DataFrame) -> DataFrame:
             yield pa.RecordBatch.from_arrays([pa.array(pairs, pa.int64()), pa.array(counts, pa.int64())], names=["pair", "n"])
 
     counted = numbered.select("numbers").mapInArrow(count, "pair long, n long")
-    return frozen(counted.groupBy("pair").agg(F.sum("n").alias("n")), "brown-pairs")
+    return counted.groupBy("pair").agg(F.sum("n").alias("n"))
+
+
+def _packed(pairs: DataFrame) -> DataFrame:
+    """(pairs, counts): the pairs as packed 64-bit numbers, a batch of them in a row, since every sweep reads them all."""
+
+    def pack(batches):
+        for batch in batches:
+            columns = [pa.array([batch.column(name).to_numpy().tobytes()], pa.binary()) for name in ("pair", "n")]
+            yield pa.RecordBatch.from_arrays(columns, names=["pairs", "counts"])
+
+    return frozen(pairs.mapInArrow(pack, "pairs binary, counts binary"), "brown-pairs")
 
 
 def _cells(pairs: DataFrame, classes: np.ndarray, n_lexicon: int, bigrams_only: bool = False) -> DataFrame:
-    """(cell, n): how often each lexicon word follows and precedes each class, and itself, and the class bigrams.
+    """(cell, n) of packed pairs: how often each lexicon word follows and precedes each class, and itself, and the class bigrams.
 
     Cells of word ``w`` are ``w * WIDTH`` on; behind the last word come the class
     bigrams. A task sends each of its cells once.
@@ -211,8 +222,9 @@ def _cells(pairs: DataFrame, classes: np.ndarray, n_lexicon: int, bigrams_only:
     def count(batches):
         of = held(name, lambda: shared.value)
         counts = np.zeros(size * WIDTH + TOTAL * TOTAL, np.int64)
-        for batch in batches:
-            pair, n = batch.column(0).to_numpy(), batch.column(1).to_numpy()
+        packs = (pack for batch in batches for pack in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()))
+        for pair, n in packs:
+            pair, n = np.frombuffer(pair, np.int64), np.frombuffer(n, np.int64)
             first, second = pair >> 16, pair & 0xFFFF
             a, b = of[first], of[second]
             np.add.at(counts, size * WIDTH + a * TOTAL + b, n)
@@ -223,7 +235,7 @@ def _cells(pairs: DataFrame, classes: np.ndarray, n_lexicon: int, bigrams_only:
         at = np.where(cells < size * WIDTH, cells, cells - size * WIDTH + (n_lexicon + 1) * WIDTH)
         yield pa.RecordBatch.from_arrays([pa.array(at, pa.int64()), pa.array(counts[cells], pa.int64())], names=["cell", "n"])
 
-    counted = pairs.select("pair", "n").mapInArrow(count, "cell long, n long").groupBy("cell").agg(F.sum("n").alias("n"))
+    counted = pairs.select("pairs", "counts").mapInArrow(count, "cell long, n long").groupBy("cell").agg(F.sum("n").alias("n"))
     return counted if bigrams_only else frozen(counted, "brown-cells")
 
 
@@ -333,7 +345,7 @@ def clustered(pairs: DataFrame, n_lexicon: int, sweeps: int | None = None) -> tu
 
     Without a number of ``sweeps`` they go on until the likelihood stops rising.
     """
-    classes = start_classes(n_lexicon)
+    pairs, classes = _packed(pairs), start_classes(n_lexicon)
     cells = _cells(pairs, classes, n_lexicon)
     bigrams = _bigrams(cells, n_lexicon)
     rise = [likelihood(bigrams)]
