@@ -5,6 +5,7 @@ import random
 import struct
 
 import public_tokenizers
+import pyarrow as pa
 import pytest
 import tiktoken
 
@@ -60,6 +61,41 @@ def test_cache_changes_nothing(monkeypatch):
     assert list(struct.unpack(f"<{len(packed) // 4}I", packed)) == LIBRARY.encode_ordinary(text)
 
 
+def test_new_pre_tokens_of_a_batch_share_a_queue(monkeypatch):
+    alone = []
+    merge = bpe.RankQueue.merge
+    monkeypatch.setattr(bpe.RankQueue, "merge", lambda self, piece, rank_of: alone.append(piece) or merge(self, piece, rank_of))
+    rng, vocabulary = random.Random(9), bpe.Vocabulary(RANKS, public_tokenizers.PATTERN)
+    words = ["".join(rng.choices("etaoinshré日", k=rng.randrange(1, 15))) for _ in range(8_000)]
+    texts = [" ".join(words[i : i + 50]) for i in range(0, 8_000, 50)] + [None, "", "a" * 3_000]
+    ids = bpe.encode_all(vocabulary, pa.array(texts, pa.string()))
+    assert ids.to_pylist() == [LIBRARY.encode_ordinary(t or "") for t in texts]
+    assert alone == [b"a" * 3_000] and not any(vocabulary.queue.words)
+
+
+@pytest.mark.parametrize("most", [1, 100, 1 << 22])
+def test_a_shared_queue_merges_as_one_of_its_own(monkeypatch, most):
+    monkeypatch.setattr(bpe, "SHARED_LEAST", 0)
+    monkeypatch.setattr(bpe, "SHARED_MOST", most)
+    odd = {b"ab": 300, b"abc": 2, b"bc": 400, b"cab": 1, b"aa": 301, b"aaa": 5, b"aba": 302, b"ba": 399, b"abab": 7}
+    ranks = {bytes([i]): i + 10 for i in range(256)} | odd
+    rng = random.Random(8)
+    pieces = [b"", *{bytes(rng.choices(b"abc", k=rng.randrange(1, 60))) for _ in range(800)}, b"a" * 99, b"aba" * 30]
+    vocabulary = bpe.Vocabulary(ranks, r"\S+")
+    got = vocabulary.merge_all(pieces)
+    assert [list(memoryview(p).cast("I")) for p in got] == [vocabulary.merge(p) for p in pieces]
+    assert not any(vocabulary.queue.words)
+
+
+def test_a_byte_that_is_no_token_is_an_error(monkeypatch):
+    monkeypatch.setattr(bpe, "SHARED_LEAST", 0)
+    ranks = {b"a": 0, b"ab": 1, b"abab": 2}
+    vocabulary = bpe.Vocabulary(ranks, r"\S+")
+    assert vocabulary.encode("ababab ab") == struct.pack("<3I", 2, 1, 1)
+    with pytest.raises(KeyError):
+        vocabulary.encode("aba bb")
+
+
 def test_op1_against_the_library(spark, folder):
     texts = texts_of(spark, folder)
     rows = QUERIES["op1_byte_bpe"](spark, folder).collect()
