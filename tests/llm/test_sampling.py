@@ -50,6 +50,23 @@ def test_pieces_count_as_whole_texts(name):
         assert library.counts(pa.array(texts, pa.string()), batch, piece) == want
 
 
+@pytest.mark.parametrize("kept", [1, 40, 300_000])
+def test_words_are_counted_once_and_as_in_whole_texts(monkeypatch, kept):
+    monkeypatch.setattr(lengths, "KEPT_WORDS", kept)
+    rng = random.Random(11)
+    marks = [*PIECES, "'", "'s", "don't", '"', "(", ")", ",", ".", "...", ":/", "?", "!", "\r\n", "\x1c", "\x85", "\u2003", "\u0301", "ɏ", "×", "ß", "Ωx", "²", "½", "_"]
+    texts = ["".join(rng.choice(marks) for _ in range(rng.randrange(60))) for _ in range(1_500)]
+    texts += ["The same words, and the same words again. " * 40, "é" * 100 + " " + "z" * 100, "'" * 90 + "s"]
+    library = lengths.Library("byte_bpe_50k.json", file_of("byte_bpe_50k.json"))
+    seen, plain = [], library.lengths
+    library.lengths = lambda some: seen.extend(some) or plain(some)
+    assert library.counts(pa.array(texts, pa.string()), 2_000) == library_counts("byte_bpe_50k.json", texts)
+    assert all("".join(lengths.WORD.findall(t)) == t for t in texts)
+    if kept > len(seen):
+        short = [w for w in seen if len(w) <= lengths.KEPT_LENGTH]
+        assert len(short) == len(set(short)) and seen.count(" same") == 1
+
+
 def test_pieces_are_the_text():
     for text in made_up(5, 200, 60):
         for size in (1, 5, 30):

@@ -5,9 +5,12 @@ library is filled by bytes, not by rows, so that one with long texts costs as mu
 memory as one with short texts; a text longer than ``PIECE`` is cut at safe
 boundaries and its pieces are counted one by one. A boundary is safe if no token
 reaches across it whatever stands around it. For a byte-level tokenizer with the
-usual pattern those are the places between a letter or digit and a blank, and
-between a letter and a digit (ASCII): the pattern ends a match at each of them, and
-looks ahead only from white space. Other tokenizers get whole texts.
+usual pattern those are the places before a blank that follows no white space,
+between letters, digits and punctuation (Latin letters, ASCII digits, the usual
+marks), but not after an apostrophe: the pattern ends a match at each of them, and
+looks ahead only from white space. A batch of such pieces is cut at all of these
+places, and of the words that this gives, the library gets each one once as long as
+its length is kept. Other tokenizers get whole texts.
 
 Results, per row: NULL and empty texts have no tokens and no bytes; strings of
 special tokens inside a text count as the library's defaults have it. Repeated rows
@@ -20,16 +23,36 @@ import json
 import os
 import re
 from collections.abc import Iterator
+from itertools import chain
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-# Bytes of a library batch, and the length from which a text is cut (in characters).
-# They bound the memory of a worker and change no result.
+# Bytes of a library batch, and the length from which a text is cut (in characters); the words whose
+# lengths are kept in a task (twice as many at most), and the longest that is kept. They bound the memory
+# of a worker and change no result.
 BATCH = 1 << 18
 PIECE = 1 << 15
-SAFE = re.compile(r"(?<=[A-Za-z0-9])(?=[ \t\n])|(?<=[A-Za-z])(?=[0-9])|(?<=[0-9])(?=[A-Za-z])")
+KEPT_WORDS = 300_000
+KEPT_LENGTH = 48
+
+# Letters, punctuation and other characters that are so in every version of Unicode.
+LETTER = "A-Za-zÀ-ÖØ-öø-ɏ"
+MARK = r'!"(),./:;?'
+NO_SPACE = r"!-~\u00A1-\u167F"
+SAFE = re.compile(
+    rf"(?<=[{NO_SPACE}])(?=[ \t\n])"
+    rf"|(?<=[{LETTER}])(?=[0-9'{MARK}])"
+    rf"|(?<=[0-9])(?=[{LETTER}'{MARK}])"
+    rf"|(?<=[{MARK}])(?=[{LETTER}0-9])"
+)
+# The text up to a safe boundary: the first two for speed, the last for all else.
+WORD = re.compile(
+    rf" ?[{LETTER}]++(?![^ \t\n0-9'{MARK}])"
+    rf"|[{MARK}]++(?![^ \t\n0-9{LETTER}])"
+    rf"|(?s:.)+?(?:{SAFE.pattern}|\Z)"
+)
 
 
 def may_cut(config: dict) -> bool:
@@ -81,6 +104,27 @@ class Library:
             self.cuts = may_cut(json.loads(content))
         else:
             raise ValueError(f"no library for {name}")
+        self.kept: dict[str, int] = {}
+        self.older: dict[str, int] = {}
+
+    def sums(self, texts: list[str]) -> list[int]:
+        """Lengths of texts as sums over their words.
+
+        Of two generations of kept words the older is forgotten when the younger is full.
+        """
+        cut = list(map(WORD.findall, texts))
+        kept = self.kept
+        new = set(chain.from_iterable(cut)).difference(kept)
+        kept.update((word, self.older[word]) for word in new.intersection(self.older))
+        unknown = list(new.difference(kept))
+        kept.update(zip(unknown, self.lengths(unknown)))
+        total = [sum(map(kept.__getitem__, words)) for words in cut]
+        for word in unknown:
+            if len(word) > KEPT_LENGTH:
+                del kept[word]
+        if len(kept) >= KEPT_WORDS:
+            self.kept, self.older = {}, kept
+        return total
 
     def counts(self, texts: pa.Array, batch: int = BATCH, piece: int = PIECE) -> list[int]:
         """Tokens of each text of an array."""
@@ -90,7 +134,7 @@ class Library:
         size = 0
 
         def encode() -> None:
-            for row, n in zip(rows, self.lengths(waiting)):
+            for row, n in zip(rows, self.sums(waiting) if self.cuts else self.lengths(waiting)):
                 total[row] += n
             waiting.clear()
             rows.clear()
